@@ -5,10 +5,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwright.llm import leakage, sentences
+from loomwright.functions.keys import canonical
+from loomwright.llm import leakage, packing, sentences, survivors
 from loomwright.session import table
 
 
+def market_judged(spark: SparkSession, d: str):
+    """What the feeds say of ducats and vaulted, judged. Null, zero and negative ducats say nothing."""
+    said = survivors.claims(
+        table(spark, d, "market"), canonical("slug"), "feed", "fetched_at", "market_id",
+        {"ducats": F.when(F.col("ducats") > 0, F.col("ducats")), "vaulted": F.col("vaulted")},
+    )
+    trust = table(spark, d, "source_trust").select(F.col("feed").alias("source"), "prop", F.col("trust_rank").alias("rank"))
+    return survivors.judge(said, trust.groupBy("source", "prop").agg(F.min("rank").alias("rank")))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.survive(market_judged(spark, d)[0]).select(F.col("grp").alias("slug"), "prop", "val", "conflict")
+
+
+def p7_truths(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.truths(market_judged(spark, d)[0]).select(F.col("grp").alias("slug"), "prop", "val", F.round("likely", 6).alias("likely"))
+
+
+def p7_sources(spark: SparkSession, d: str) -> DataFrame:
+    return market_judged(spark, d)[1].select(F.col("source").alias("feed"), "prop", F.round("sensitivity", 6).alias("sensitivity"), F.round("specificity", 6).alias("specificity"))
+
+
+def p7_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Groups and conflicts by field."""
+    return survivors.survive(market_judged(spark, d)[0]).groupBy("prop").agg(F.count("*").alias("n_groups"), F.sum("conflict").alias("conflicts"))
+
+
+P7_SQL = """
+with rows as (select nullif(replace(lower(trim(slug, ' ' || chr(9))), '-', '_'), '') as slug, feed, fetched_at, market_id, ducats, vaulted from market),
+many as (select slug from rows where slug is not null group by 1 having count(*) >= 2),
+said as (
+  select slug, 'ducats' as prop, cast(ducats as varchar) as val, feed, fetched_at, market_id from rows where ducats > 0
+  union all select slug, 'vaulted', cast(vaulted as varchar), feed, fetched_at, market_id from rows where vaulted is not null),
+ranked as (
+  select s.*, row_number() over (partition by s.slug, s.prop order by coalesce(t.trust_rank, 1000000), s.fetched_at desc, s.market_id) as pos
+  from said s join many using (slug) left join source_trust t on t.feed = s.feed and t.prop = s.prop)
+select slug, prop, max(val) filter (where pos = 1) as val, cast(count(distinct val) > 1 as bigint) as conflict from ranked group by 1, 2
+"""
+
+
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(packing.sizes(table(spark, d, "documents")))
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, tokens and unused share by bucket."""
+    used = p8_packed(spark, d).groupBy("container").agg(F.max("bucket").alias("bucket"), F.sum("n_tokens").alias("used"), F.count("*").alias("n"))
+    return used.groupBy("bucket").agg(
+        F.count("*").alias("containers"), F.sum("n").alias("pieces"), F.sum("used").alias("tokens"), F.round(1 - F.sum("used") / (F.count("*") * packing.CAPACITY), 6).alias("unused")
+    )
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -27,5 +80,11 @@ def p10_lengths(spark: SparkSession, d: str) -> DataFrame:
     return p10_found(spark, d).groupBy("doc_id").agg(F.count("*").alias("n_sentences"), F.max(F.col("end_char") - F.col("start_char")).alias("longest"))
 
 
-QUERIES = {"p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_lengths": p10_lengths}
-SQL: dict[str, str] = {}
+QUERIES = {
+    "p7_found": p7_found, "p7_truths": p7_truths, "p7_sources": p7_sources, "p7_totals": p7_totals, "p8_packed": p8_packed, "p8_fill": p8_fill,
+    "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_lengths": p10_lengths,
+}
+SQL = {
+    "p7_found": P7_SQL,
+    "p7_totals": f"with q as ({P7_SQL}) select prop, count(*) as n_groups, sum(conflict) as conflicts from q group by 1",
+}
