@@ -6,10 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.functions.keys import canonical
-from loomwright.llm import leakage, packing, sentences, survivors
+from loomwright.llm import leakage, names, packing, sentences, survivors
 from loomwright.session import table
 
 
+def typed_names(spark: SparkSession, d: str) -> DataFrame:
+    """``(src_table, field, row_id, kind, value)`` of all columns of typed names."""
+    sources = [
+        ("drops", "item", "item", None), ("drops", "place", "place", None), ("relic_rows", "reward", "item", None),
+        ("unresolved", "name", "item", F.coalesce(F.col("source") != "wfm", F.lit(True))),
+    ]
+    union = None
+    for name, field, kind, only in sources:
+        rows = table(spark, d, name)
+        rows = (rows if only is None else rows.filter(only)).select(F.lit(name).alias("src_table"), F.lit(field).alias("field"), "row_id", F.lit(kind).alias("kind"), F.col(field).alias("value"))
+        union = rows if union is None else union.unionByName(rows)
+    return union
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    # a place may leave out where it is and what is done there; a part of an item is another item
+    return names.resolve(typed_names(spark, d), table(spark, d, "ref_names"), {"item": True, "place": False}).select("src_table", "field", "row_id", "ref_id")
+
+
+def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Values that mean no entry, by how many rows have them."""
+    found = names.resolve(typed_names(spark, d), table(spark, d, "ref_names"), {"item": True, "place": False})
+    return found.filter("ref_id = 0").groupBy("src_table", "field", "value").agg(F.count("*").alias("n"))
+
+
 def market_judged(spark: SparkSession, d: str):
     """What the feeds say of ducats and vaulted, judged. Null, zero and negative ducats say nothing."""
     said = survivors.claims(
@@ -81,6 +106,7 @@ def p10_lengths(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p3_found": p3_found, "p3_unmatched": p3_unmatched,
     "p7_found": p7_found, "p7_truths": p7_truths, "p7_sources": p7_sources, "p7_totals": p7_totals, "p8_packed": p8_packed, "p8_fill": p8_fill,
     "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_lengths": p10_lengths,
 }
