@@ -16,13 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomwright.operators.skew import bounded, lookup
+from loomwright.operators.skew import bounded, fits, lookup
 from loomwright.session import cut
 
 #: A token that is in more than this share of a kind's entries, and in more than so many, tells classes of entries apart, not entries.
 CLASS_SHARE, CLASS_ENTRIES = 0.02, 3
 #: Edits by which a token may differ, by its least length.
 EDITS = {4: 1, 6: 2}
+#: The place of a value run together, which is none of its tokens'.
+WHOLE = -1
 #: Least soft TF-IDF of the entry that is meant.
 LEAST = 0.55
 
@@ -136,12 +138,13 @@ def _segments(form: Column) -> Column:
     return F.array(*[part(i) for i in range(_PARTS)])
 
 
-def repair(tokens: DataFrame, forms: DataFrame) -> DataFrame:
+def repair(tokens: DataFrame, forms: DataFrame, hint) -> DataFrame:
     """``(kind, token, word, common, alike)``: the words of the list that each distinct token may stand for.
 
     ``alike`` is 1 for the word itself, else 1 less the share of edits, or 0.8 for an abbreviation of a
     class word: its letters in order from the first on. The edit join meets on a part of the form that
     occurs in the token at most as many places off as edits are allowed, so it finds every pair in reach.
+    ``hint`` marks what is derived from the list for broadcast, or not.
     """
     exact = tokens.join(forms, (tokens.kind == forms.kind) & (tokens.token == forms.form)).select(tokens.kind, tokens.token, forms.token.alias("word"), "common", F.lit(1.0).alias("alike"))
     rest = tokens.join(exact.select("kind", "token").distinct(), ["kind", "token"], "left_anti")
@@ -151,13 +154,13 @@ def repair(tokens: DataFrame, forms: DataFrame) -> DataFrame:
     # the places of the token that may hold a part of each width that occurs
     pieces = (
         rest.filter(F.length("token") >= min(EDITS) - 1)
-        .join(bounded(lengths), "kind")
+        .join(hint(lengths), "kind")
         .filter(F.col("width") <= F.length("token"))
         .select("kind", "token", "width", F.explode(F.sequence(F.lit(0), F.length("token") - F.col("width"))).alias("place"))
         .select("kind", "token", "place", F.expr("substr(token, place + 1, width)").alias("part"))
     )
     near = (
-        pieces.join(bounded(cut_forms), ["kind", "part"])
+        pieces.join(hint(cut_forms), ["kind", "part"])
         .filter((F.abs(F.col("place") - F.col("at")) <= most) & (F.abs(F.length("token") - F.length("form")) <= most))
         .select("kind", "token", "form", "word", "common")
         .distinct()
@@ -168,7 +171,7 @@ def repair(tokens: DataFrame, forms: DataFrame) -> DataFrame:
     classes = forms.filter("common").select("kind", F.col("form").alias("class"), F.col("token").alias("word"), F.substring("form", 1, 1).alias("initial"))
     short = (
         rest.filter(F.length("token").between(2, 9)).withColumn("initial", F.substring("token", 1, 1))
-        .join(bounded(classes), ["kind", "initial"])
+        .join(hint(classes), ["kind", "initial"])
         .filter((F.length("token") < F.length("class")) & F.expr("class rlike concat('^', array_join(split(token, ''), '.*'))"))
         .select("kind", "token", "word", F.lit(True).alias("common"), F.lit(0.8).alias("alike"))
     )
@@ -184,51 +187,47 @@ def canonical(values: DataFrame, entries: DataFrame, strict: dict[str, bool]) ->
     edition of a thing is not it. Among entries left the highest soft TF-IDF is meant, of equal ones
     that with fewer class tokens unsaid, then the lowest ref_id. A blank value means nothing.
     """
+    # what is derived from the list is as large as the list, so one count tells whether all of it may be broadcast
+    hint = F.broadcast if fits(entries) else (lambda frame: frame)
     held, forms = (cut(x) for x in vocabulary(entries))
     read_values = cut(values.select("kind", "value", F.xxhash64("kind", "value").alias("sid"), _tokens("value").alias("tokens")))
     tokens = read_values.select("sid", "kind", F.posexplode("tokens").alias("pos", "token"))
-    # the whole value run together, for words that were split
-    whole = read_values.filter(F.size("tokens") >= 2).select("sid", "kind", F.array_join("tokens", "").alias("token"))
-    distinct = tokens.select("kind", "token").unionByName(whole.select("kind", "token")).distinct()
-    repaired = cut(repair(distinct, forms))
-    said = cut(
-        tokens.join(repaired, ["kind", "token"])
+    # the whole value run together, for words that were split; it stands at no place
+    whole = read_values.filter(F.size("tokens") >= 2).select("sid", "kind", F.lit(WHOLE).alias("pos"), F.array_join("tokens", "").alias("token"))
+    repaired = cut(repair(tokens.select("kind", "token").unionByName(whole.select("kind", "token")).distinct(), forms, hint))
+    said = (
+        tokens.unionByName(whole).join(repaired, ["kind", "token"])
+        .filter((F.col("pos") != WHOLE) | F.col("word").contains("+"))
         .select("sid", "kind", "pos", F.explode(F.split("word", "\\+")).alias("word"), "common", "alike")
-        .groupBy("sid", "kind", "pos", "word").agg(F.max("alike").alias("alike"), F.bool_and("common").alias("common"))
     )
-    run_together = whole.join(repaired.filter(F.col("word").contains("+")), ["kind", "token"]).select("sid", "kind", F.explode(F.split("word", "\\+")).alias("word"), "alike")
-    rare = said.filter(~F.col("common")).select("sid", "kind", "word", "alike").unionByName(run_together)
+    # a value's words are as many as it has tokens times what each may stand for
+    said = cut(said.groupBy("sid", "kind").agg(F.collect_set(F.struct("pos", "word", "alike", "common")).alias("said")))
     entry = held.select("kind", "ref_id", F.col("token").alias("word"), F.col("common").alias("class"), "idf")
     # of each distinguishing token of an entry the best that stands for it
-    found = rare.groupBy("sid", "kind", "word").agg(F.max("alike").alias("alike")).join(bounded(entry.filter(~F.col("class"))), ["kind", "word"])
-    needs = entry.groupBy("kind", "ref_id").agg(
-        F.count_if(~F.col("class")).alias("rare_words"), F.count_if("class").alias("class_words"), F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm")
-    )
-    complete = (
-        found.groupBy("sid", "kind", "ref_id").agg(F.count("*").alias("rare_found"), F.sum(F.col("alike") * F.col("idf") * F.col("idf")).alias("rare_score"))
-        .join(bounded(needs), ["kind", "ref_id"])
-        .filter(F.col("rare_found") == F.col("rare_words"))
+    rare = said.select("sid", "kind", F.inline("said")).filter(~F.col("common")).groupBy("sid", "kind", "word").agg(F.max("alike").alias("alike"))
+    found = (
+        rare.join(hint(entry.filter(~F.col("class")).drop("class")), ["kind", "word"])
+        .groupBy("sid", "kind", "ref_id").agg(F.count("*").alias("rare_found"), F.sum(F.col("alike") * F.col("idf") * F.col("idf")).alias("rare_score"))
     )
-    # class tokens count only for entries that have all their distinguishing ones, so no class is multiplied out
-    worded = complete.select("sid", "kind", "ref_id").join(said, ["sid", "kind"]).join(bounded(entry), ["kind", "ref_id", "word"])
-    explained = worded.groupBy("sid", "ref_id").agg(
-        F.count_distinct("pos").alias("explained"),
-        F.count_distinct(F.when(F.col("class"), F.col("word"))).alias("class_found"),
+    needs = entry.groupBy("kind", "ref_id").agg(
+        F.collect_list(F.when(~F.col("class"), F.col("word"))).alias("rare"), F.collect_list(F.when(F.col("class"), F.struct("word", "idf"))).alias("classes"),
+        F.sum(F.col("idf") * F.col("idf")).alias("norm"),
     )
-    classes = worded.filter("class").groupBy("sid", "ref_id", "word", "idf").agg(F.max("alike").alias("alike")).groupBy("sid", "ref_id").agg(F.sum(F.col("alike") * F.col("idf") * F.col("idf")).alias("class_score"))
-    glued = run_together.select("sid").distinct().withColumn("glued", F.lit(True))
+    # class tokens are looked at only for entries that have all their distinguishing ones, so no class is multiplied out
+    full = found.join(hint(needs), ["kind", "ref_id"]).filter(F.col("rare_found") == F.size("rare")).join(said.drop("kind"), "sid").join(read_values.select("sid", F.size("tokens").alias("size")), "sid")
+    best_of = lambda word: F.array_max(F.transform(F.filter("said", lambda x: x["word"] == word), lambda x: x["alike"]))
+    own = F.concat("rare", F.transform("classes", lambda c: c["word"]))
+    explained = F.size(F.array_distinct(F.transform(F.filter("said", lambda x: (x["pos"] != WHOLE) & F.array_contains(own, x["word"])), lambda x: x["pos"])))
+    class_score = F.aggregate("classes", F.lit(0.0), lambda total, c: total + F.coalesce(best_of(c["word"]), F.lit(0.0)) * c["idf"] * c["idf"])
+    missing = F.size(F.filter("classes", lambda c: best_of(c["word"]).isNull()))
     exact_kinds = [k for k, v in strict.items() if v]
-    counted = read_values.select("sid", F.size("tokens").alias("said"))
     ranked = (
-        complete.join(explained, ["sid", "ref_id"], "left").join(classes, ["sid", "ref_id"], "left").join(counted, "sid").join(glued, "sid", "left")
-        .fillna({"explained": 0, "class_found": 0, "class_score": 0.0, "glued": False})
-        .filter((F.col("explained") == F.col("said")) | F.col("glued"))
-        .filter(~F.col("kind").isin(exact_kinds) | (F.col("class_found") == F.col("class_words")))
-        .withColumn("score", (F.col("rare_score") + F.col("class_score")) / (F.col("norm") * F.col("norm")))
-    )
-    best = ranked.groupBy("sid").agg(
-        F.max_by(F.struct("ref_id", "score"), F.struct("score", (F.col("class_found") - F.col("class_words")).alias("unsaid"), (-F.col("ref_id")).alias("low"))).alias("best")
+        full.withColumn("missing", missing)
+        .filter((explained == F.col("size")) | F.exists("said", lambda x: x["pos"] == WHOLE))
+        .filter(~F.col("kind").isin(exact_kinds) | (F.col("missing") == 0))
+        .withColumn("score", (F.col("rare_score") + class_score) / F.col("norm"))
     )
+    best = ranked.groupBy("sid").agg(F.max_by(F.struct("ref_id", "score"), F.struct("score", (-F.col("missing")).alias("unsaid"), (-F.col("ref_id")).alias("low"))).alias("best"))
     return read_values.join(best, "sid", "left").select(
         "kind", "value", F.when(F.col("best.score") >= LEAST, F.col("best.ref_id")).otherwise(F.lit(0)).cast("bigint").alias("ref_id"), F.col("best.score").alias("score")
     )

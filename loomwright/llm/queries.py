@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.functions.keys import canonical
-from loomwright.llm import leakage, names, packing, sentences, survivors
+from loomwright.llm import leakage, matching, names, packing, sentences, survivors
 from loomwright.session import table
 
 
@@ -35,6 +35,19 @@ def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return found.filter("ref_id = 0").groupBy("src_table", "field", "value").agg(F.count("*").alias("n"))
 
 
+#: Words of listings that are of several items at once.
+SEVERAL = ("set", "bundle", "pack")
+
+
+def p5_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs with their confidence."""
+    return matching.match(table(spark, d, "market"), table(spark, d, "de_items"), SEVERAL)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return p5_matches(spark, d).select("market_id", "unique_name")
+
+
 def market_judged(spark: SparkSession, d: str):
     """What the feeds say of ducats and vaulted, judged. Null, zero and negative ducats say nothing."""
     said = survivors.claims(
@@ -106,7 +119,7 @@ def p10_lengths(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p3_found": p3_found, "p3_unmatched": p3_unmatched,
+    "p3_found": p3_found, "p3_unmatched": p3_unmatched, "p5_found": p5_found, "p5_matches": p5_matches,
     "p7_found": p7_found, "p7_truths": p7_truths, "p7_sources": p7_sources, "p7_totals": p7_totals, "p8_packed": p8_packed, "p8_fill": p8_fill,
     "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_lengths": p10_lengths,
 }
