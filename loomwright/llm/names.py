@@ -236,9 +236,11 @@ def canonical(values: DataFrame, entries: DataFrame, strict: dict[str, bool]) ->
 def resolve(rows: DataFrame, entries: DataFrame, strict: dict[str, bool]) -> DataFrame:
     """``rows(kind, value, ...)`` that are not byte for byte a name of their kind, with ``ref_id``.
 
-    Null values are left out; repeated rows keep their own. A value with many rows is worked on once
+    Null values are left out; repeated rows keep their own; columns of ``rows`` named ref_id or slot
+    are replaced. A value with many rows is worked on once
     and its answer is brought back to them, by broadcast if it is hot.
     """
+    rows, entries = rows.drop("ref_id", "slot"), entries.select("kind", "ref_id", "name").filter(F.col("name").isNotNull())
     names = entries.select("kind", F.col("name").alias("value"))
     open_rows = rows.filter(F.col("value").isNotNull()).join(bounded(names), ["kind", "value"], "left_anti").withColumn("slot", F.xxhash64("kind", "value"))
     counts = cut(open_rows.groupBy("slot", "kind", "value").agg(F.count("*").alias("n")))
