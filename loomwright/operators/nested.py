@@ -171,10 +171,10 @@ class Reader:
             if isinstance(x, dict):
                 pairs.append((lang, x.get("icon")))
                 named.append((lang, x.get("name")))
-        for lang, path in dict.fromkeys(pairs):
+        for lang, path in dict.fromkeys((lang, path) for lang, path in pairs if isinstance(lang, str) and isinstance(path, str)):
             if self.text(lang) and self.text(path):
                 self.row(node, "icon", key=lang, val=path)
-        for lang, name in dict.fromkeys((lang, name) for lang, name in named if isinstance(name, str)):
+        for lang, name in dict.fromkeys((lang, name) for lang, name in named if isinstance(lang, str) and isinstance(name, str)):
             if self.text(lang) and self.text(name):
                 self.row(node, "name", key=lang, val=name)
 

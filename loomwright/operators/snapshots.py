@@ -76,8 +76,8 @@ def diff(
     # one row a build and key from here on, so a key's rows number its builds at most and all grouping shares this one shuffle
     unpivoted = (
         rows.filter(F.col(build).isNotNull() & F.col(key).isNotNull())
-        .join(bounded(steps), build)
-        .select(F.col(key).alias("key"), "steps", F.concat(*cells).alias("cells"))
+        .select(F.col(build).alias("_build"), F.col(key).alias("key"), F.concat(*cells).alias("cells"))
+        .join(bounded(steps.withColumnRenamed(build, "_build")), "_build")
         .repartition("key")
         .select("key", "steps", F.explode("cells").alias("cell"))
         .select("key", F.explode("steps").alias("at"), "cell")
