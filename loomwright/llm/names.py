@@ -97,7 +97,7 @@ def _cyrillic(tokens: pd.Series) -> pd.Series:
 
 
 def vocabulary(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of ``entries(kind, ref_id, name)``: ``(kind, ref_id, token, common, idf)`` and ``(kind, form, token, common)``.
+    """Of ``entries(kind, ref_id, name)``: ``(kind, ref_id, token, common, idf)`` and ``(kind, form, token, common, recurs)``.
 
     A form is a spelling that stands for a token: its own, its Cyrillic one, and for the first two
     tokens of an entry both run together, which stand for the pair as ``one+two``.
@@ -106,13 +106,13 @@ def vocabulary(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     single = words.select("kind", "ref_id", F.explode(F.array_distinct("tokens")).alias("token"))
     total = entries.groupBy("kind").agg(F.count("*").alias("total"))
     frequency = single.groupBy("kind", "token").agg(F.count("*").alias("df")).join(total, "kind")
-    known = frequency.select("kind", "token", (F.col("df") > F.greatest(F.lit(CLASS_ENTRIES), CLASS_SHARE * F.col("total"))).alias("common"), F.log(1 + F.col("total") / F.col("df")).alias("idf"))
-    held = single.join(known, ["kind", "token"])
+    known = frequency.select("kind", "token", (F.col("df") > F.greatest(F.lit(CLASS_ENTRIES), CLASS_SHARE * F.col("total"))).alias("common"), (F.col("df") > 1).alias("recurs"), F.log(1 + F.col("total") / F.col("df")).alias("idf"))
+    held = single.join(known.drop("recurs"), ["kind", "token"])
     pairs = words.filter(F.size("tokens") >= 2).select("kind", F.concat(F.col("tokens")[0], F.col("tokens")[1]).alias("form"), F.concat_ws("+", F.col("tokens")[0], F.col("tokens")[1]).alias("token")).distinct()
     forms = (
-        known.select("kind", F.col("token").alias("form"), "token", "common")
-        .unionByName(known.select("kind", _cyrillic("token").alias("form"), "token", "common"))
-        .unionByName(pairs.withColumn("common", F.lit(False)))
+        known.select("kind", F.col("token").alias("form"), "token", "common", "recurs")
+        .unionByName(known.select("kind", _cyrillic("token").alias("form"), "token", "common", "recurs"))
+        .unionByName(pairs.withColumns({"common": F.lit(False), "recurs": F.lit(False)}))
     )
     return held, forms
 
@@ -141,8 +141,8 @@ def _segments(form: Column) -> Column:
 def repair(tokens: DataFrame, forms: DataFrame, hint) -> DataFrame:
     """``(kind, token, word, common, alike)``: the words of the list that each distinct token may stand for.
 
-    ``alike`` is 1 for the word itself, else 1 less the share of edits, or 0.8 for an abbreviation of a
-    class word: its letters in order from the first on. The edit join meets on a part of the form that
+    ``alike`` is 1 for the word itself, else 1 less the share of edits, or 0.8 for an abbreviation: the
+    beginning of a word that recurs, or of a class word some letters in order from the first. The edit join meets on a part of the form that
     occurs in the token at most as many places off as edits are allowed, so it finds every pair in reach.
     ``hint`` marks what is derived from the list for broadcast, or not.
     """
@@ -168,12 +168,14 @@ def repair(tokens: DataFrame, forms: DataFrame, hint) -> DataFrame:
         .filter((F.col("edits") >= 0) & (F.col("edits") <= _edits(F.least(F.length("token"), F.length("form")))))
         .select("kind", "token", "word", "common", (1 - F.col("edits") / F.greatest(F.length("token"), F.length("form"))).alias("alike"))
     )
-    classes = forms.filter("common").select("kind", F.col("form").alias("class"), F.col("token").alias("word"), F.substring("form", 1, 1).alias("initial"))
+    classes = forms.filter("recurs").select("kind", F.col("form").alias("class"), F.col("token").alias("word"), "common", F.substring("form", 1, 1).alias("initial"))
+    in_order = F.col("common") & F.expr("class rlike concat('^', array_join(split(token, ''), '.*'))")
+    begun = (F.length("token") >= 3) & F.col("class").startswith(F.col("token"))
     short = (
         rest.filter(F.length("token").between(2, 9)).withColumn("initial", F.substring("token", 1, 1))
         .join(hint(classes), ["kind", "initial"])
-        .filter((F.length("token") < F.length("class")) & F.expr("class rlike concat('^', array_join(split(token, ''), '.*'))"))
-        .select("kind", "token", "word", F.lit(True).alias("common"), F.lit(0.8).alias("alike"))
+        .filter((F.length("token") < F.length("class")) & (in_order | begun))
+        .select("kind", "token", "word", "common", F.lit(0.8).alias("alike"))
     )
     return exact.unionByName(near).unionByName(short).groupBy("kind", "token", "word", "common").agg(F.max("alike").alias("alike"))
 

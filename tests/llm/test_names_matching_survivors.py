@@ -37,7 +37,7 @@ def test_typed_names(spark):
 def test_edit_join_finds_what_brute_force_finds(spark):
     words = sorted({w.lower() for b in BASES for w in b.split()})
     typed = [w[:3] + w[4:] for w in words] + [w[:2] + "q" + w[2:-1] for w in words] + ["unlike"]
-    forms = spark.createDataFrame([("k", w, w, False) for w in words], "kind string, form string, token string, common boolean")
+    forms = spark.createDataFrame([("k", w, w, False, False) for w in words], "kind string, form string, token string, common boolean, recurs boolean")
     got = {(r["token"], r["word"]) for r in names.repair(spark.createDataFrame([("k", t) for t in typed], "kind string, token string").distinct(), forms, lambda f: f).collect()}
     want = spark.createDataFrame([(t, w) for t in set(typed) for w in words], "t string, w string").filter(F.levenshtein("t", "w") <= F.when(F.least(F.length("t"), F.length("w")) >= 6, 2).otherwise(1))
     assert got == set(map(tuple, want.collect()))
