@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,3 +48,13 @@ def cut(frame: DataFrame) -> DataFrame:
     """Write ``frame`` to the shared checkpoint folder and read on from there, so no executor loss can undo it."""
     checkpoint_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def reach(spark: SparkSession) -> SparkSession:
+    """``spark``, whose Python workers find this package where the driver does, whatever folder they start in."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *[p for p in known if p]])
+    return spark
