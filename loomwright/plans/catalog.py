@@ -436,7 +436,7 @@ def zip_nonzero(t: Tables) -> DataFrame:
     return manifests.zipped_nonzero(t("part").withColumn("v", F.array(F.col("p_size") % 3, F.col("p_size") % 2, F.col("p_size") % 5)), "p_partkey", "v", ["impact", "puncture", "slash"])
 
 
-@query("select l_orderkey, arg_max(l_partkey, l_linenumber * 1000000000 + l_partkey) as last_part from lineitem group by 1")
+@query("select l_orderkey, arg_max(l_partkey, cast(l_linenumber as bigint) * 1000000000 + l_partkey) as last_part from lineitem group by 1")
 def last_element(t: Tables) -> DataFrame:
     ranks = t("lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"]).alias("ranks"))
     return ranks.select("l_orderkey", manifests.last_element(F.col("ranks")).alias("last_part"))
