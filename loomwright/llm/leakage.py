@@ -31,6 +31,8 @@ SHIFT = 15
 SEED = 12
 #: Characters of the shortest tile.
 TILE = 8
+#: Characters that are looked at together. A longer text is taken in parts that overlap by STRETCH times the longest item.
+PART, STRETCH = 2_000_000, 8
 #: Items that are joined at once; more are taken in blocks, each against all documents.
 BLOCK = 20_000
 
@@ -275,20 +277,30 @@ def _searcher(items: Items):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             texts = batch.column(1).to_pylist()
-            out: list[tuple[int, int]] = []
+            ids, texts = _parted(ids, texts, STRETCH * max(map(len, items.text), default=0))
+            out: set[tuple[int, int]] = set()
             low = 0
-            while low < len(texts):  # a few million characters at a time
+            while low < len(texts):
                 high, size = low, 0
-                while high < len(texts) and (high == low or size + len(texts[high]) < 2_000_000):
+                while high < len(texts) and (high == low or size + len(texts[high]) < PART):
                     size += len(texts[high])
                     high += 1
-                out += _hits(items, ids[low:high], texts[low:high])
+                out.update(_hits(items, ids[low:high], texts[low:high]))
                 low = high
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["doc_id", "item_id"])
 
     return search
 
 
+def _parted(ids: np.ndarray, texts: list[str], overlap: int) -> tuple[np.ndarray, list[str]]:
+    """Texts longer than PART as overlapping parts under the same id; the overlap holds any passage whole."""
+    if all(len(t) <= PART for t in texts):
+        return ids, texts
+    step = max(PART, 2 * overlap) - overlap
+    pairs = [(d, t[at : at + step + overlap]) for d, t in zip(ids.tolist(), texts) for at in range(0, max(1, len(t) - overlap), step)]
+    return np.array([d for d, _ in pairs], np.int64), [t for _, t in pairs]
+
+
 def _hits(items: Items, ids: np.ndarray, texts: list[str]) -> list[tuple[int, int]]:
     codes = _codes("".join(texts))
     kept = codes > 0

@@ -150,12 +150,13 @@ def repair(tokens: DataFrame, forms: DataFrame, hint) -> DataFrame:
     rest = tokens.join(exact.select("kind", "token").distinct(), ["kind", "token"], "left_anti")
     most = max(EDITS.values())
     cut_forms = forms.filter(F.length("form") >= min(EDITS)).select("kind", "form", F.col("token").alias("word"), "common", F.inline(_segments(F.col("form")))).filter(F.length("part") > 0)
-    lengths = cut_forms.select("kind", F.length("part").alias("width")).distinct()
+    # a token longer than any form with a part of that width, and all edits, meets none
+    lengths = cut_forms.groupBy("kind", F.length("part").alias("width")).agg((F.max(F.length("form")) + most).alias("longest"))
     # the places of the token that may hold a part of each width that occurs
     pieces = (
         rest.filter(F.length("token") >= min(EDITS) - 1)
         .join(hint(lengths), "kind")
-        .filter(F.col("width") <= F.length("token"))
+        .filter((F.col("width") <= F.length("token")) & (F.length("token") <= F.col("longest")))
         .select("kind", "token", "width", F.explode(F.sequence(F.lit(0), F.length("token") - F.col("width"))).alias("place"))
         .select("kind", "token", "place", F.expr("substr(token, place + 1, width)").alias("part"))
     )

@@ -39,6 +39,15 @@ def test_passages(spark):
     assert L.leaks(frame, items.limit(0)).count() == 0 and L.leaks(frame.limit(0), items).count() == 0
 
 
+def test_long_texts_are_parted(spark, monkeypatch):
+    monkeypatch.setattr(L, "PART", 6000)
+    items = L.Items([(1, item(1)), (2, item(2))])
+    filler = item(77, 4000)
+    text = filler[:9000] + " " + item(1) + " " + filler[9000:] + item(2)
+    ids, parts = L._parted(np.array([5]), [text], L.STRETCH * max(map(len, items.text)))
+    assert len(parts) > 2 and set(L._hits(items, ids, parts)) == {(5, 1), (5, 2)}
+
+
 def brute(item, text, least):
     item, text, out = list(item), list(text), []
     used_i, used_t = [False] * len(item), [False] * len(text)
