@@ -48,7 +48,7 @@ _WIDE = "。！？｡"
 _JOINTS = "、，,）)】；"
 # a full stop within a word or number is no event
 _EVENT = re.compile(rf"(?:[{_STOPS[1:]}]|\.(?!\w))[{_STOPS}]*(?:[\s​]*[»)\]）］}}”’」』\"“])*|[\"“”«»„「」『』]|\n|(?:{'|'.join(THAI_FINALS)})(?=\s)")
-_STRUCTURE = re.compile(r"[ \t]*(?:[-*•–·◦▪+>]\s|#{1,6}\s|\(?\d{1,3}[.)]\s|\[\d{1,2}:\d\d(?::\d\d)?\]|\d{1,2}:\d\d(?::\d\d)?\s+\S+:\s|[^\W\d_][\w'-]{1,24}:\s)")
+_STRUCTURE = re.compile(r"[ \t]*(?:[-*•–·◦▪+>]\s|#{1,6}\s|\(?\d{1,3}[.)]\s|\[\d{1,2}:\d\d(?::\d\d)?\]|\d{1,2}:\d\d(?::\d\d)?\s+\S+:\s|[A-ZА-ЯЁ][\w'-]{1,24}:\s)")
 _SPEAKER = re.compile(r"[ \t]*(?:\[\d{1,2}:\d\d(?::\d\d)?\]|[A-ZА-ЯЁ][\w'-]{1,24}:\s)")
 #: No abbreviation is longer.
 LONGEST = 12
@@ -138,7 +138,7 @@ def scan(text: str, low: int, high: int, state: int, width: int, chat: bool, uni
         while marks < stop and text[marks] in _STOPS:
             marks += 1
         closing, inside = "", state
-        end = marks
+        end, opener = marks, -1
         for i in range(marks, stop):
             q = text[i]
             if q.isspace() or q == "​":
@@ -149,6 +149,7 @@ def scan(text: str, low: int, high: int, state: int, width: int, chat: bool, uni
                 elif not state:
                     # an opening mark after a blank begins the next sentence
                     if q in OPENERS or text[i - 1].isspace():
+                        opener = i
                         break
                 else:
                     break
@@ -159,6 +160,8 @@ def scan(text: str, low: int, high: int, state: int, width: int, chat: bool, uni
         last = end
         if state:
             continue
+        if opener >= 0:
+            state = _quote(text, opener, text[opener], 0)
         after = _SPACE.match(text, end).end()
         if after >= size:
             out.append((end, after))

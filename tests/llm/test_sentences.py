@@ -11,6 +11,7 @@ CASES = [
     ("Dr. Low sells it at Lv. 5. Ask e.g. at No. 4. It is 3.5 units, i.e. about 7 tries!", 3),
     ('He typed "gg." in chat and left. "Bring two of them!" shouted the vendor. “Is it gone?” she asked.', 3),
     ("J. Low and R. T. Mon disagree. Gates open at 7 a.m. Bring keys, shields, etc. A crate waits.", 4),
+    ('it is late. “Is it gone?” she asked. "Never go alone. It wastes keys." and then logged off.', 3),
     ("Wait... what happened? It left... The rest is luck…", 3),
     ("Der 40. Rang reicht. Seit dem 3. März zahlt Low z. B. 5 Chips. „Geh nie allein hin. Das kostet“, schrieb Low.", 3),
     ("« N'y va jamais seul. C'est un piège ! » a écrit Low. M. Low vend p. ex. celles de la forge.", 2),
