@@ -114,7 +114,9 @@ def scan(text: str, low: int, high: int, state: int, width: int, chat: bool, uni
         if c == "\n":
             after = _SPACE.match(text, stop).end()
             gap = text.count("\n", at, after)
-            if after >= size or _hard_break(text, at, after, gap, width, chat):
+            # a quotation goes on over the line ends of a wrapped text
+            quoted = state and width and gap == 1 and not chat and not _STRUCTURE.match(text, stop)
+            if after >= size or not quoted and _hard_break(text, at, after, gap, width, chat):
                 end = len(text[:at].rstrip()) if text[at - 1 : at].isspace() else at
                 out.append((end, after))
                 state, unit = 0, after
@@ -219,6 +221,8 @@ def _ends(text: str, at: int, marks: int, end: int, after: int, inside: int, clo
     cased = following.lower() != following.upper()
     small = cased and following.islower()
     if inside and closing and any(q in "\"“”»」』" for q in closing):
+        if wide and inside >= KINDS:
+            return not _GOES_ON.match(text, after)
         # a quotation closed inside a sentence: only a fresh start splits
         return (_capital(following) or following in "\"“«„¿¡([#*•" or following.isdigit()) and not small
     ellipsis = "…" in cluster or cluster.startswith("..")

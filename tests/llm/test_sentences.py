@@ -17,7 +17,7 @@ CASES = [
     ("« N'y va jamais seul. C'est un piège ! » a écrit Low. M. Low vend p. ex. celles de la forge.", 2),
     ("См. табл. 5 в отчёте. Кузница просит кожух и т. д. — А где чертёж? — спросил Low. Таймер отстаёт на 16,80 с. Враг ур. 4 тут!", 5),
     ("「本当？」と聞かれた。前は1.5%で、今は2%だ。開けたが……出なかった。", 3),
-    ("他说：“别一个人去。那里有埋伏。”然后就下线了。真便宜！！「真的吗？」他问。他喊道：“快跑！”有谁见过吗？", 5),
+    ("他说：“别一个人去。那里有埋伏。”然后就下线了。真便宜！！「真的吗？」他问。他喊道：“快跑！”有谁见过吗？他喊道：“快跑！” 真便宜！", 7),
     ("قال د. Low: «لا تذهب وحدك. إنه فخ.» ثم خرج. لماذا اختفى؟!", 2),
     ('डॉ. Low ने कहा, "अकेले मत जाओ। वहाँ जाल है।" और चले गए। वाह! भार 4.7 कि.ग्रा. है।', 3),
     ("ใครจะไป Low บ้าง ลองหาดูที่ด่าน 48 นะคะ เมื่อก่อน 13.9 ตอนนี้เหลือ 20.0 เปอร์เซ็นต์ค่ะ", 3),
