@@ -37,7 +37,7 @@ NEVER_LAST = frozenset(
     डॉ श्री कि.ग्रा د أ م كغ น พ.ศ""".split()
 )
 # Abbreviations of counters, which only a number makes one.
-NUMBERED = frozenset("no nr nos art op ex bd".split())
+NUMBERED = frozenset("no nr nos".split())
 # Words before a German ordinal number.
 ORDINAL_LEADS = frozenset("der die das dem den des am im vom zum beim seit ab bis jeder jede jedes".split())
 # Particles that end a Thai sentence where a blank follows.
@@ -46,8 +46,8 @@ THAI_FINALS = ("ครับ", "ค่ะ", "คะ", "นะ", "บ้าง",
 _STOPS = ".!?…。！？．｡؟।॥‼⁇⁉"
 _WIDE = "。！？｡"
 _JOINTS = "、，,）)】；"
-# a full stop within a word or number is no event
-_EVENT = re.compile(rf"(?:[{_STOPS[1:]}]|\.(?!\w))[{_STOPS}]*(?:[\s​]*[»)\]）］}}”’」』\"“])*|[\"“”«»„「」『』]|\n|(?:{'|'.join(THAI_FINALS)})(?=\s)")
+# a full stop within a word or number is no event, but one that lacks its blank before a capital word is
+_EVENT = re.compile(rf"(?:[{_STOPS[1:]}]|\.(?!\w)|\.(?=[A-ZА-ЯЁ][a-zа-яё’' ]))[{_STOPS}]*(?:[\s​]*[»)\]）］}}”’」』\"“])*|[\"“”«»„「」『』]|\n|(?:{'|'.join(THAI_FINALS)})(?=\s)")
 _STRUCTURE = re.compile(r"[ \t]*(?:[-*•–·◦▪+>]\s|#{1,6}\s|\(?\d{1,3}[.)]\s|\[\d{1,2}:\d\d(?::\d\d)?\]|\d{1,2}:\d\d(?::\d\d)?\s+\S+:\s|[A-ZА-ЯЁ][\w'-]{1,24}:\s)")
 _SPEAKER = re.compile(r"[ \t]*(?:\[\d{1,2}:\d\d(?::\d\d)?\]|[A-ZА-ЯЁ][\w'-]{1,24}:\s)")
 #: No abbreviation is longer.
@@ -61,7 +61,6 @@ _RESTING = frozenset("etc usw std sek incl".split())
 # Words by which a sentence goes on after a quotation that a colon led into.
 _GOES_ON = re.compile("然后|就|便|并|接着|随后|之后|又|还|这样|他|她|と|って|라고|하고|고")
 _LIST_NUMBER = re.compile(r"(?:^|\n)[ \t]*[(#*]*\d{1,3}$")
-_PREFIX = re.compile(r"[ \t]*(?:(?:[-*•–·◦▪+>]|#{1,6}|\(?\d{1,3}[.)])\s+)?(?:\[\d{1,2}:\d\d(?::\d\d)?\]\s*)?(?:[^\W\d_][\w'-]{1,24}:\s+)?")
 _WRAPPED = re.compile(r"[^ \t\n]*")
 _COLONS = (":", "：")
 _SPACE = re.compile(r"[\s​]*")
@@ -83,17 +82,6 @@ def _capital(c: str) -> bool:
     return c.isupper() or c.istitle()
 
 
-def _casual(text: str, start: int) -> bool:
-    """Whether the unit that begins at ``start`` begins in lower case after its marks, as a chat line does."""
-    at = _PREFIX.match(text, start).end()
-    for c in text[at : at + 24]:
-        if c.isalpha():
-            return c.islower()
-        if not c.isdigit() and c not in "\"“«„'(¿¡":
-            return False
-    return False
-
-
 def scan(text: str, low: int, high: int, state: int, width: int, chat: bool, unit: int | None = None) -> tuple[list[tuple[int, int]], int]:
     """Boundaries ``(end, next start)`` whose events begin in ``[low, high)`` and the state at ``high``.
 
@@ -211,7 +199,11 @@ def _ends(text: str, at: int, marks: int, end: int, after: int, inside: int, clo
         # without a blank only marks of spaceless scripts end a sentence, and not where a quotation goes on
         if inside and closing:
             return wide and inside >= KINDS and not _GOES_ON.match(text, after) and following not in _JOINTS
-        return wide and following not in _JOINTS
+        if wide:
+            return following not in _JOINTS
+        if closing or not _capital(following) or not (text[after + 1 : after + 2].islower() or text[after + 1 : after + 2] in " '’"):
+            return False
+        return cluster != "." or not _abbreviated(text, at, after, unit, False)
     if following == "\n":
         return True
     # who said it follows after a dash
@@ -227,7 +219,8 @@ def _ends(text: str, at: int, marks: int, end: int, after: int, inside: int, clo
         return (_capital(following) or following in "\"“«„¿¡([#*•" or following.isdigit()) and not small
     ellipsis = "…" in cluster or cluster.startswith("..")
     if small:
-        if ellipsis or not _casual(text, unit):
+        # a pause goes on in small letters; else one may well have begun so
+        if ellipsis:
             return False
         if cluster == ".":
             return not _abbreviated(text, at, after, unit, True)
