@@ -201,6 +201,8 @@ def _ends(text: str, at: int, marks: int, end: int, after: int, inside: int, clo
             return wide and inside >= KINDS and not _GOES_ON.match(text, after) and following not in _JOINTS
         if wide:
             return following not in _JOINTS
+        if not closing and following.isalpha() and text[at - 1].isalpha() and any(c in "!?؟" for c in cluster):
+            return True
         if closing or not _capital(following) or not (text[after + 1 : after + 2].islower() or text[after + 1 : after + 2] in " '’"):
             return False
         return cluster != "." or not _abbreviated(text, at, after, unit, False)

@@ -13,6 +13,7 @@ CASES = [
     ("J. Low and R. T. Mon disagree. Gates open at 7 a.m. Bring keys, shields, etc. A crate waits.", 4),
     ('it is late. “Is it gone?” she asked. "Never go alone. It wastes keys." and then logged off.', 3),
     ("It went well.For now it rests.we left. the rest is luck! or so v3.2.1 of drops.v0.txt says, p. ex. here.", 4),
+    ("[06:48] Low: thx!gl with the grind", 2),
     ("Wait... what happened? It left... The rest is luck…", 3),
     ("Der 40. Rang reicht. Seit dem 3. März zahlt Low z. B. 5 Chips. „Geh nie allein hin. Das kostet“, schrieb Low.", 3),
     ("« N'y va jamais seul. C'est un piège ! » a écrit Low. M. Low vend p. ex. celles de la forge.", 2),
