@@ -59,6 +59,19 @@ def test_matching(spark):
     assert all(0 < r["confidence"] <= 1 for r in rows.values())
 
 
+MARKET, ITEMS = "market_id bigint, slug string, game_ref string, en_name string, ru_name string", "unique_name string, name string"
+
+
+def test_a_good_reference_of_the_slug_names_the_item_of_its_other_rows(spark):
+    things = [(f"/A/{b.replace(' ', '')}", b) for b in BASES]
+    listings = [
+        (1, "lot_1", things[0][0], None, None), (2, "LOT-1", None, None, None), (3, "lot_3", things[1][0].upper(), "Wholly Otherwise", None), (4, "lot_3", "unknown", "Quite Unlike It", None),
+        (5, "lot_5", things[2][0], "Two Things Set", None), (6, "lot_5", None, None, None), (7, "lot_7", None, None, None),
+    ]
+    got = matching.match(spark.createDataFrame(listings, MARKET), spark.createDataFrame(things, ITEMS), ("set",)).collect()
+    assert {r["market_id"]: (r["unique_name"], r["confidence"]) for r in got} == {2: (things[0][0], 1.0), 4: (things[1][0], 1.0)}
+
+
 T0 = dt.datetime(2025, 1, 1)
 SAID = [
     ("a", "v", "1", "good", 0, 1), ("a", "v", "2", "bad", 9, 2), ("b", "v", "5", "bad", 1, 3), ("b", "v", "6", "bad", 2, 4), ("c", "v", None, "good", 0, 5), ("c", "v", None, "bad", 0, 6),
