@@ -72,6 +72,32 @@ def test_a_good_reference_of_the_slug_names_the_item_of_its_other_rows(spark):
     assert {r["market_id"]: (r["unique_name"], r["confidence"]) for r in got} == {2: (things[0][0], 1.0), 4: (things[1][0], 1.0)}
 
 
+def test_near_names_are_what_brute_force_finds(spark):
+    r = random.Random(3)
+    own = sorted({b.lower() for b in BASES} | {"a", "ab", "abcd", "abcde", "x" * 9 + "y" * 9} | {f"crowd kind {i}" for i in range(40)})
+
+    def typed(text):
+        for _ in range(r.randint(0, len(text) // 4)):
+            at = r.randrange(len(text) + 1)
+            text = r.choice([text[:at] + text[at + 1 :], text[:at] + "q" + text[at:], text[:at] + "w" + text[at + 1 :]])
+        return " ".join(text.split()[:: r.choice([1, -1])]) or "q"
+
+    said_ = sorted({typed(o) for o in own for _ in range(5)})
+    left, right = (spark.createDataFrame([("", o) for o in x], "class string, own string") for x in (said_, own))
+    want = left.select(F.col("own").alias("l_own")).crossJoin(right.select(F.col("own").alias("i_own"))).filter(matching._alike(F.col("l_own"), F.col("i_own")) >= 1 - matching.SLACK)
+    want = {tuple(x) for x in want.collect()}
+    assert len(want) > 500 and {(x["l_own"], x["i_own"]) for x in matching.near_names(left, right).collect()} == want
+
+
+def test_what_the_tables_miss_is_found_by_names_and_paths(spark, monkeypatch):
+    # as many bits as of a table past any size: no bucket holds a pair of names that differ
+    monkeypatch.setattr(matching, "BUCKET", 1e-9)
+    things = [(f"/A/{b.replace(' ', '')}", b) for b in BASES]
+    listings = [(i, f"lot_{i}", None, b[:3] + b[4:-2] + "q" + b[-1], None) for i, (_, b) in enumerate(things)] + [(90, "lot_90", "/Old/" + things[0][0].upper()[3:], None, None)]
+    got = {r["market_id"]: r["unique_name"] for r in matching.match(spark.createDataFrame(listings, MARKET), spark.createDataFrame(things, ITEMS)).collect()}
+    assert got == {**{i: u for i, (u, _) in enumerate(things)}, 90: things[0][0]}
+
+
 T0 = dt.datetime(2025, 1, 1)
 SAID = [
     ("a", "v", "1", "good", 0, 1), ("a", "v", "2", "bad", 9, 2), ("b", "v", "5", "bad", 1, 3), ("b", "v", "6", "bad", 2, 4), ("c", "v", None, "good", 0, 5), ("c", "v", None, "bad", 0, 6),
