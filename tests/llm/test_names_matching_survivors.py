@@ -98,6 +98,22 @@ def test_what_the_tables_miss_is_found_by_names_and_paths(spark, monkeypatch):
     assert got == {**{i: u for i, (u, _) in enumerate(things)}, 90: things[0][0]}
 
 
+def test_misspelt_names_of_a_crowd_of_like_ones_are_found(spark, monkeypatch):
+    # every bucket counts as crowded and is split far
+    monkeypatch.setattr(matching, "FULL", 1)
+    monkeypatch.setattr(matching, "MORE", 30)
+    r = random.Random(5)
+    codes: list[str] = []
+    while len(codes) < 400:
+        code = "".join(r.choice("bdglmnprtz") for _ in range(7))
+        if all(sum(a != b for a, b in zip(code, c)) >= 4 for c in codes[-400:]):
+            codes.append(code)
+    things = [(f"/A/{i}", f"Zourakumproltromfasvenk{c}") for i, c in enumerate(codes)]
+    listings = [(i, f"lot_{i}", None, n[:3] + n[4:8] + "q" + n[9:15] + "w" + n[16:], None) for i, (_, n) in enumerate(things[:150])]
+    got = matching.match(spark.createDataFrame(listings, MARKET), spark.createDataFrame(things, ITEMS)).collect()
+    assert {r["market_id"]: r["unique_name"] for r in got} == {i: u for i, (u, _) in enumerate(things[:150])}
+
+
 T0 = dt.datetime(2025, 1, 1)
 SAID = [
     ("a", "v", "1", "good", 0, 1), ("a", "v", "2", "bad", 9, 2), ("b", "v", "5", "bad", 1, 3), ("b", "v", "6", "bad", 2, 4), ("c", "v", None, "good", 0, 5), ("c", "v", None, "bad", 0, 6),
