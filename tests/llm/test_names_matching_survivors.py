@@ -114,6 +114,14 @@ def test_misspelt_names_of_a_crowd_of_like_ones_are_found(spark, monkeypatch):
     assert {r["market_id"]: r["unique_name"] for r in got} == {i: u for i, (u, _) in enumerate(things[:150])}
 
 
+def test_of_many_items_that_share_a_name_one_is_meant(spark, monkeypatch):
+    monkeypatch.setattr(matching, "COMMON", 3)
+    things = [(f"/A/{b.replace(' ', '')}", b) for b in BASES[1:]] + [(f"/A/{i}{'x' * (i % 3)}/End{i % 2}", BASES[0]) for i in range(10, 40)]
+    listings = [(1, "lot_1", None, BASES[0], None), (2, "lot_2", "/Old/eND1", BASES[0], None), (3, "lot_3", None, "Zourakm Proltromfas", None)]
+    got = {r["market_id"]: r["unique_name"] for r in matching.match(spark.createDataFrame(listings, MARKET), spark.createDataFrame(things, ITEMS)).collect()}
+    assert got == {1: "/A/12/End0", 2: "/A/15/End1", 3: "/A/12/End0"}
+
+
 T0 = dt.datetime(2025, 1, 1)
 SAID = [
     ("a", "v", "1", "good", 0, 1), ("a", "v", "2", "bad", 9, 2), ("b", "v", "5", "bad", 1, 3), ("b", "v", "6", "bad", 2, 4), ("c", "v", None, "good", 0, 5), ("c", "v", None, "bad", 0, 6),
