@@ -2,7 +2,7 @@
 
 Everything that decides is the histogram of lengths, which has one entry a length up to the capacity
 however many texts there are. On it, dynamic programming places the bucket boundaries that pad least,
-and token-budget batches are formed from the buckets, longest first; what a batch leaves free is
+and token-budget batches are formed inside each bucket; in a second pass what a batch leaves free is
 offered to the shorter buckets. The texts then find their batch by their rank among those of their
 length, so no text is moved with its words and none is gathered in one place.
 """
@@ -30,8 +30,8 @@ BUCKETS = 8
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern of that vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Parts that texts of one length are ranked in, so that one length may have most of them.
-SALTS = 64
+#: Texts of one length that are ranked in one part; a length with more has as many parts as that takes.
+RANKED = 500_000
 
 _ENCODERS: dict[str, object] = {}
 
@@ -109,56 +109,98 @@ def boundaries(counts: np.ndarray, buckets: int = BUCKETS) -> list[int]:
     return sorted(set(ends))
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY, buckets: int = BUCKETS) -> tuple[list[int], pd.DataFrame]:
+class Bucket:
+    """The texts left of one bucket, by length, and the fullest set of them for a free space."""
+
+    def __init__(self, lengths: list[int], left: np.ndarray) -> None:
+        self.lengths, self.left = lengths, left  # lengths ascending
+
+    def fill(self, free: int, first: bool) -> dict[int, int]:
+        """How many of each length make the fullest set of at most ``free`` tokens; of equal ones the longer texts.
+
+        With ``first`` the longest text left is in it. The sums that the lengths can reach are bits of
+        a number; taking the lengths back from the longest, each takes what leaves a sum in reach.
+        """
+        self.lengths = [n for n in self.lengths if self.left[n]]
+        batch: dict[int, int] = {}
+        if first and self.lengths:
+            longest = self.lengths[-1]
+            batch[longest] = 1
+            free -= longest
+        fitting = self.lengths[: bisect.bisect_right(self.lengths, free)]
+        if not fitting:
+            return batch
+        full, sums, steps = (1 << (free + 1)) - 1, 1, []
+        for length in fitting:
+            steps.append(sums)
+            many, size = min(int(self.left[length]) - batch.get(length, 0), free // length), 1
+            while many > 0:
+                take = min(size, many)
+                sums |= sums << (take * length) & full
+                many -= take
+                size *= 2
+        at = sums.bit_length() - 1
+        for length, before in zip(reversed(fitting), reversed(steps)):
+            most = min(int(self.left[length]) - batch.get(length, 0), at // length)
+            n = next(n for n in range(most, -1, -1) if before >> (at - n * length) & 1)
+            if n:
+                batch[length] = batch.get(length, 0) + n
+                at -= n * length
+        return batch
+
+
+def plan(counts: np.ndarray, capacity: int = CAPACITY, buckets: int = BUCKETS, shared: bool = True) -> tuple[list[int], pd.DataFrame]:
     """Batches over the histogram: ``(length, rank_from, rank_to, each, container, bucket)``.
 
     Texts of ``length`` ranked from ``rank_from`` to before ``rank_to`` fill the containers from
-    ``container`` on, ``each`` to one. One batch is worked out at a time, in the bucket of the longest
-    text left: that text, then the longest of its own bucket that still fit, then the longest of the
-    shorter buckets. It is repeated while the histogram holds it, so the batches are as many as the
-    lengths, not as the texts.
+    ``container`` on, ``each`` to one. The buckets follow each other from the longest. A batch is
+    formed inside its bucket: the longest text left there with the fullest set of others of the bucket.
+    In a second pass, unless ``shared`` is off, the tokens that stay free are offered to the shorter
+    buckets, one after the other, before those form batches of their own. A batch is repeated while
+    the histogram holds it, so there are about as many as lengths, not as texts.
     """
     ends = boundaries(counts, buckets)
     left = counts.astype(np.int64).copy()
     left[0] = 0
     used = np.zeros(len(left), np.int64)
-    present = np.flatnonzero(left).tolist()
+    of = [Bucket([n for n in range(low + 1, high + 1) if left[n]], left) for low, high in zip([0, *ends], ends)]
     rows, container = [], 0
-    while present:
-        free, batch = capacity, {}
-        bucket = bisect.bisect_left(ends, present[-1])
-        i = len(present) - 1
-        while i >= 0 and free:
-            i = min(i, bisect.bisect_right(present, free) - 1)
-            if i < 0:
+    for bucket in range(len(of) - 1, -1, -1):
+        while True:
+            batch = of[bucket].fill(capacity, True)
+            if not batch:
                 break
-            length = present[i]
-            fit = min(free // length, int(left[length]))
-            if fit:
-                batch[length] = fit
-                free -= fit * length
-            i -= 1
-        times = min(int(left[length]) // fit for length, fit in batch.items())
-        for length, fit in batch.items():
-            rows.append((length, int(used[length]), int(used[length]) + times * fit, fit, container, bucket))
-            used[length] += times * fit
-            left[length] -= times * fit
-            if not left[length]:
-                present.pop(bisect.bisect_left(present, length))
-        container += times
+            free = capacity - sum(n * fit for n, fit in batch.items())
+            for shorter in range(bucket - 1, -1, -1) if shared else ():
+                if not free:
+                    break
+                more = of[shorter].fill(free, False)
+                free -= sum(n * fit for n, fit in more.items())
+                batch |= more
+            times = min(int(left[length]) // fit for length, fit in batch.items())
+            for length, fit in batch.items():
+                rows.append((length, int(used[length]), int(used[length]) + times * fit, fit, container, bucket))
+                used[length] += times * fit
+                left[length] -= times * fit
+            container += times
     return ends, pd.DataFrame(rows, columns=["length", "rank_from", "rank_to", "each", "container", "bucket"])
 
 
-def pack(sized: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) -> DataFrame:
+def pack(sized: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS, ranked: int = RANKED) -> DataFrame:
     """``(doc_id, piece, start_token, n_tokens, bucket, container)``: every piece of every text in one container.
 
     No container holds more than ``capacity`` tokens, and a text is in pieces only if it alone exceeds
     that. Rows of one ``doc_id`` are taken as texts of their own. Equal lengths are told apart by
-    doc_id and piece, so a rerun packs alike. An empty table gives no rows.
+    doc_id and piece, so a rerun packs alike. A length is ranked in parts of about ``ranked`` texts, so
+    one length may have most of them. An empty table gives no rows.
     """
     spark = sized.sparkSession
-    items = pieces(cut(sized), capacity).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
-    # lengths times salts at most, whatever the number of texts
+    cut_ = pieces(cut(sized), capacity)
+    lengths = {int(r[0]): max(1, -(-int(r[1]) // ranked)) for r in cut_.groupBy("n_tokens").count().collect()}  # capacity rows at most
+    many = {n: k for n, k in lengths.items() if k > 1}
+    salts = F.coalesce(F.create_map(*[F.lit(x) for pair in many.items() for x in pair])[F.col("n_tokens").cast("int")], F.lit(1)) if many else F.lit(1)
+    items = cut_.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), salts).cast("int"))
+    # a row a length and part: lengths plus texts over ``ranked``
     parts = items.groupBy("n_tokens", "salt").agg(F.count("*").alias("n")).toPandas().sort_values(["n_tokens", "salt"])
     counts = np.zeros(capacity + 1, np.int64)
     np.add.at(counts, parts["n_tokens"].to_numpy(np.int64), parts["n"].to_numpy(np.int64))
@@ -188,5 +230,5 @@ def pack(sized: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) ->
             )
 
     rank = F.row_number().over(W.partitionBy("n_tokens", "salt").orderBy("doc_id", "piece")) - 1
-    ranked = items.withColumn("rank", rank.cast("bigint")).select("doc_id", "piece", "start_token", "n_tokens", "salt", "rank")
-    return ranked.mapInArrow(place, "doc_id bigint, piece bigint, start_token bigint, n_tokens bigint, bucket bigint, container bigint")
+    numbered = items.withColumn("rank", rank.cast("bigint")).select("doc_id", "piece", "start_token", "n_tokens", "salt", "rank")
+    return numbered.mapInArrow(place, "doc_id bigint, piece bigint, start_token bigint, n_tokens bigint, bucket bigint, container bigint")

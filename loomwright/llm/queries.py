@@ -100,6 +100,16 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p8_whole(spark: SparkSession, d: str) -> DataFrame:
+    """One row: texts put in, containers over capacity, texts cut without need, and texts whose pieces don't add up."""
+    sized = packing.sizes(table(spark, d, "documents"))
+    packed = packing.pack(sized)
+    over = packed.groupBy("container").agg(F.sum("n_tokens").alias("n")).agg(F.count_if(F.col("n") > packing.CAPACITY).alias("over"))
+    texts = packed.groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.max("piece").alias("piece")).join(sized, "doc_id")
+    told = texts.agg(F.count("*").alias("texts"), F.count_if((F.col("piece") > 0) & (F.col("n") <= packing.CAPACITY)).alias("cut"), F.count_if(F.col("n") != F.col("n_tokens")).alias("wrong"))
+    return told.withColumn("one", F.lit(1)).join(over.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -120,10 +130,11 @@ def p10_lengths(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p3_found": p3_found, "p3_unmatched": p3_unmatched, "p5_found": p5_found, "p5_matches": p5_matches,
-    "p7_found": p7_found, "p7_truths": p7_truths, "p7_sources": p7_sources, "p7_totals": p7_totals, "p8_packed": p8_packed, "p8_fill": p8_fill,
+    "p7_found": p7_found, "p7_truths": p7_truths, "p7_sources": p7_sources, "p7_totals": p7_totals, "p8_packed": p8_packed, "p8_fill": p8_fill, "p8_whole": p8_whole,
     "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_lengths": p10_lengths,
 }
 SQL = {
     "p7_found": P7_SQL,
+    "p8_whole": """select count(*) as texts, cast(0 as bigint) as over, cast(0 as bigint) as cut, cast(0 as bigint) as wrong from documents where text <> ''""",
     "p7_totals": f"with q as ({P7_SQL}) select prop, count(*) as n_groups, sum(conflict) as conflicts from q group by 1",
 }
