@@ -9,7 +9,6 @@ the tiles that follow each other in the item's order are taken for one passage.
 from __future__ import annotations
 
 import heapq
-import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -23,11 +22,7 @@ from loomwright.operators.skew import fits
 
 #: Share of an item's words that a passage must hold, and share of the passage's words that may differ.
 SHARE, CHANGED = 0.4, 0.1
-#: Words in a row of which each run gives a seed. Any passage has an unchanged run of this length at least.
-RUN = 6
-#: Letters by which a changed word may shift what follows it.
-SHIFT = 15
-#: Characters of a seed; less only if some run of RUN words is shorter.
+#: Characters of a seed; less only for items of which some run of words is shorter.
 SEED = 12
 #: Characters of the shortest tile.
 TILE = 8
@@ -43,6 +38,9 @@ ALIKE_TO = "abesijkmhopctyxygqwaecopxyijsdqwhlkmtbhabezhikmnoptyxaopviktuxeagil"
 #: Texts, and characters of each, by which seeds are ranked. They decide which seeds are used, not what is found.
 SAMPLE, SAMPLE_CHARS = 1_000, 2_000
 
+# Blocks of scripts written without spaces, of which each letter counts as a word.
+SPACELESS = ((0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -85,6 +83,23 @@ def skeleton(text: str) -> str:
     return _bones(text).tobytes().decode("utf-32-le")
 
 
+def _heads(text: str, codes: np.ndarray) -> np.ndarray:
+    """Whether each letter of the skeleton begins a word: after white space, or as a letter of a script without spaces."""
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    blank = np.isin(points, _BLANKS)
+    kept = codes > 0
+    gaps = np.cumsum(blank)[kept]
+    bones = codes[kept]
+    heads = np.ones(len(bones), bool)
+    heads[1:] = gaps[1:] != gaps[:-1]
+    for low, high in SPACELESS:
+        heads |= (bones >= low) & (bones <= high)
+    return heads
+
+
+_BLANKS = np.array([c for c in range(0x3001) if chr(c).isspace()], np.uint32)
+
+
 def rolling(codes: np.ndarray, length: int) -> np.ndarray:
     """The running hash of every window of ``length`` codes, put together from windows of powers of two."""
     with np.errstate(over="ignore"):
@@ -113,32 +128,35 @@ def _pow(n: int) -> np.uint64:
     return np.uint64(pow(int(_BASE), n, 2**64))
 
 
+def _spans(words: int) -> list[tuple[int, int]]:
+    """Every number of words a passage of an item may have, with those of them that may be changed."""
+    return [(n, int(CHANGED * n + 1e-9)) for n in range(max(1, int(np.ceil(SHARE * words - 1e-9))), words + 1)]
+
+
 class Items:
     """The test items as skeletons with their words, and the seeds that lead to them.
 
-    Of every run of words the seed that is rarest in the items and in ``sample`` is taken; that makes
-    fewer false meetings, and any choice finds all passages.
+    An unchanged run of ``run`` words is in any passage of an item, as many as its changed words leave
+    together at least. Of every such run the seed that is rarest in the items and in ``sample`` is
+    taken; that makes fewer false meetings, and any choice finds all passages.
     """
 
-    def __init__(self, rows: list[tuple[int, str]], sample: list[str] = []) -> None:
+    def __init__(self, rows: list[tuple[int, str]], sample: list[str] = [], seed: int | None = None) -> None:
         self.ids, self.text, self.starts, self.ends = [], [], [], []
         for key, text in rows:
-            starts, ends, parts, at = [], [], [], 0
-            for word in re.findall(r"\S+", text):
-                bones = skeleton(word)
-                if bones:
-                    starts.append(at)
-                    at += len(bones)
-                    ends.append(at)
-                    parts.append(bones)
-            if parts:
+            codes = _codes(text)
+            bones = codes[codes > 0]
+            if len(bones):
+                starts = np.flatnonzero(_heads(text, codes))
                 self.ids.append(key)
-                self.text.append("".join(parts))
-                self.starts.append(np.array(starts))
-                self.ends.append(np.array(ends))
+                self.text.append(bones.tobytes().decode("utf-32-le"))
+                self.starts.append(starts)
+                self.ends.append(np.concatenate([starts[1:], [len(bones)]]))
         self.codes = [np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in self.text]
-        spans = [(s[i], e[min(i + RUN, len(s)) - 1]) for s, e in zip(self.starts, self.ends) for i in range(max(1, len(s) - RUN + 1))]
-        self.seed = int(min([SEED, *(b - a for a, b in spans)]))
+        self.run = [min(-(-(n - c) // (c + 1)) for n, c in _spans(len(s))) for s in self.starts]
+        # words between two seeds of one passage at most: all that may be changed, and what is unchanged but too short for a run
+        self.apart = [(_spans(len(s))[-1][1] + 1) * (run + 1) + run for s, run in zip(self.starts, self.run)]
+        self.seed = seed or min([SEED, *(self.own_seed(n) for n in range(len(self.ids)))])
         hashes = [rolling(c, self.seed) for c in self.codes]
         common = Counter(h for of in hashes for h in set(of.tolist()))
         every = np.array(sorted(common), np.uint64)
@@ -150,12 +168,11 @@ class Items:
         # a seed from every run of words, so that any unchanged run has one
         chosen: dict[int, set[int]] = defaultdict(set)
         self.grams, self.least, self.meet = [], [], []
-        for n, (of, starts, ends) in enumerate(zip(hashes, self.starts, self.ends)):
+        for n, of in enumerate(hashes):
             values = of.tolist()
             rank = [(common[h], h) for h in values]
-            for i in range(max(1, len(starts) - RUN + 1)):
-                low, high = starts[i], ends[min(i + RUN, len(starts)) - 1] - self.seed + 1
-                chosen[min(rank[low:high])[1]].add(n)
+            for low, high in self._runs(n):
+                chosen[min(rank[low : high - self.seed + 1])[1]].add(n)
             self.grams.append(of)
             self.least.append(self._least(n))
             self.meet.append(self._meet(n))
@@ -166,28 +183,43 @@ class Items:
                 if n in chosen.get(h, ()):
                     places[h, n].append(i)
         self.owners = [[(n, places[int(h), n]) for n in sorted(chosen[int(h)])] for h in self.keys]
-        self.drift = [SHIFT * (int(CHANGED * len(s)) + 1) for s in self.starts]
         self.mask = np.zeros(1 << 20, bool)
         self.mask[self.keys >> np.uint64(44)] = True
 
+    def _runs(self, n: int) -> list[tuple[int, int]]:
+        """Letters from and to of every run of words of item ``n``."""
+        starts, ends, run = self.starts[n], self.ends[n], self.run[n]
+        return [(int(starts[i]), int(ends[min(i + run, len(starts)) - 1])) for i in range(max(1, len(starts) - run + 1))]
+
+    def own_seed(self, n: int) -> int:
+        """Letters that a seed of item ``n`` can have: no more than its shortest run."""
+        return min([SEED, *(b - a for a, b in self._runs(n))])
+
     def _least(self, n: int) -> int:
         """Seeds of item ``n``, by position, that a document must share at least to hold a passage of it."""
         words = len(self.starts[n])
         lengths = np.sort(self.ends[n] - self.starts[n])[::-1]
         bounds = []
-        for need in range(int(np.ceil(SHARE * words)), words + 1):
-            changed = int(CHANGED * need)
+        for need, changed in _spans(words):
             shortest = int((self.ends[n][need - 1 :] - self.starts[n][: words - need + 1]).min())
             # every changed word takes its own letters and the seeds that reach into it
             bounds.append(shortest - int(lengths[:changed].sum()) - (changed + 1) * (self.seed - 1))
         return max(1, min(bounds))
 
-
     def _meet(self, n: int) -> int:
         """Chosen seeds, by position, that any passage of item ``n`` has: each unchanged stretch wastes less than a run."""
-        words = len(self.starts[n])
-        spans = range(int(np.ceil(SHARE * words)), words + 1)
-        return max(1, min(-(-(need - (c := int(CHANGED * need)) - (RUN - 1) * (c + 1)) // RUN) for need in spans))
+        run = self.run[n]
+        return max(1, min(-(-(need - c - (run - 1) * (c + 1)) // run) for need, c in _spans(len(self.starts[n]))))
+
+
+def by_seed(rows: list[tuple[int, str]], sample: list[str] = []) -> list[Items]:
+    """``Items`` by the length of their seeds, so that items of short runs don't shorten the seeds of all."""
+    groups: dict[int, list[tuple[int, str]]] = defaultdict(list)
+    for row in rows:
+        one = Items([row])
+        if one.ids:
+            groups[one.seed].append(row)
+    return [Items(of, sample, seed) for seed, of in sorted(groups.items())]
 
 
 def matches(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -231,12 +263,33 @@ def tiles(item: np.ndarray, text: np.ndarray, least: int = TILE) -> list[tuple[i
     return sorted(out)
 
 
-def holds(items: Items, n: int, text: np.ndarray) -> bool:
-    """Whether the skeleton ``text`` has, as one passage in order, enough of item ``n``."""
-    starts, ends, words = items.starts[n], items.ends[n], len(items.starts[n])
-    need = SHARE * words
+def _between(item: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: range, text: np.ndarray, heads: np.ndarray, mean: float) -> int:
+    """Changed words between two tiles: the item's ``words`` against the letters ``text`` that stand there instead.
+
+    Words of the item that stand there whole and in order are not changed, though too short for a
+    tile. What else stands there counts by the words it begins, however long they are, or by its
+    letters where these are fewer, since the spacing of a document may differ.
+    """
+    begun = np.flatnonzero(heads).tolist()
+    stops = [*begun[1:], len(text)]
+    kept, at = 0, 0
+    for w in words:
+        word = item[starts[w] : ends[w]]
+        for k in range(at, len(begun)):
+            if stops[k] - begun[k] == len(word) and (text[begun[k] : stops[k]] == word).all():
+                kept, at = kept + 1, k + 1
+                break
+    lost = len(words) - kept
+    letters = len(text) - int(ends[words[-1]] - starts[words[0]]) if len(words) else len(text)
+    return max(lost, min(len(begun) - kept, lost + (round(letters / mean) if letters > 0 else 0)))
+
+
+def holds(items: Items, n: int, text: np.ndarray, heads: np.ndarray) -> bool:
+    """Whether the skeleton ``text``, with its words' ``heads``, has enough of item ``n`` as one passage in order."""
+    item, starts, ends, words = items.codes[n], items.starts[n], items.ends[n], len(items.starts[n])
+    need = SHARE * words - 1e-9
     mean = max(1.0, ends[-1] / words)
-    found = tiles(items.codes[n], text)
+    found = tiles(item, text, min(TILE, items.seed))
     count = len(found)
     first = [int(np.searchsorted(starts, i)) for _, i, _ in found]  # first word begun in the tile
     after = [int(np.searchsorted(ends, i + length, "right")) for _, i, length in found]  # words ended by it
@@ -250,19 +303,18 @@ def holds(items: Items, n: int, text: np.ndarray) -> bool:
             if b not in errors:
                 continue
             span = after[b] - first[a]
-            if span >= need and errors[b] <= CHANGED * span:
+            if span >= need and errors[b] <= CHANGED * span + 1e-9:
                 return True
             jb, ib, lb = found[b]
             for c in range(b + 1, count):
                 jc, ic, _ = found[c]
-                if ic < ib + lb or jc < jb + lb:
+                if ic < ib + lb or jc < jb + lb or not whole[c]:
                     continue
-                if not whole[c]:
+                room = CHANGED * words - errors[b]
+                if first[c] - after[b] > (room + 1) * (items.run[n] + 1):
                     continue
-                left_out = max(0, first[c] - after[b])
-                put_in = (jc - jb - lb) - (ic - ib - lb)
-                cost = errors[b] + max(left_out, left_out + round(put_in / mean) if put_in > 0 else 0)
-                if cost <= CHANGED * words + 1 and cost < errors.get(c, words):
+                cost = errors[b] + _between(item, starts, ends, range(after[b], first[c]), text[jb + lb : jc], heads[jb + lb : jc], mean)
+                if cost <= CHANGED * words + 1e-9 and cost < errors.get(c, words):
                     errors[c] = cost
     return False
 
@@ -270,14 +322,15 @@ def holds(items: Items, n: int, text: np.ndarray) -> bool:
 _OUT = "doc_id bigint, item_id bigint"
 
 
-def _searcher(items: Items):
-    """The map over document batches for one block of items."""
+def _searcher(groups: list[Items]):
+    """The map over document batches for one block of items, in groups by the length of their seeds."""
+    longest = max((len(t) for items in groups for t in items.text), default=0)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             texts = batch.column(1).to_pylist()
-            ids, texts = _parted(ids, texts, STRETCH * max(map(len, items.text), default=0))
+            ids, texts = _parted(ids, texts, STRETCH * longest)
             out: set[tuple[int, int]] = set()
             low = 0
             while low < len(texts):
@@ -285,7 +338,7 @@ def _searcher(items: Items):
                 while high < len(texts) and (high == low or size + len(texts[high]) < PART):
                     size += len(texts[high])
                     high += 1
-                out.update(_hits(items, ids[low:high], texts[low:high]))
+                out.update(_hits(groups, ids[low:high], texts[low:high]))
                 low = high
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["doc_id", "item_id"])
 
@@ -301,13 +354,20 @@ def _parted(ids: np.ndarray, texts: list[str], overlap: int) -> tuple[np.ndarray
     return np.array([d for d, _ in pairs], np.int64), [t for _, t in pairs]
 
 
-def _hits(items: Items, ids: np.ndarray, texts: list[str]) -> list[tuple[int, int]]:
-    codes = _codes("".join(texts))
+def _hits(groups: list[Items], ids: np.ndarray, texts: list[str]) -> list[tuple[int, int]]:
+    joined = "".join(texts)
+    codes = _codes(joined)
     kept = codes > 0
     ends = np.cumsum([len(t) for t in texts])
     before = np.concatenate([[0], np.cumsum(kept)])
     bounds = before[ends]  # where each document's bones end
     bones = codes[kept]
+    heads = _heads(joined, codes)
+    heads[np.concatenate([[0], bounds[:-1]])[np.concatenate([[0], bounds[:-1]]) < len(heads)]] = True
+    return [pair for items in groups for pair in _met(items, ids, bones, heads, bounds)]
+
+
+def _met(items: Items, ids: np.ndarray, bones: np.ndarray, heads: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:
     hashes = rolling(bones, items.seed)
     if not len(hashes):
         return []
@@ -317,24 +377,18 @@ def _hits(items: Items, ids: np.ndarray, texts: list[str]) -> list[tuple[int, in
     at, slot = at[exact], slot[exact]
     doc = np.searchsorted(bounds, at, "right")
     inside = at + items.seed <= bounds[doc]
-    spots: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+    spots: dict[tuple[int, int], list[int]] = defaultdict(list)
     owners = items.owners
     for d, p, k in zip(doc[inside].tolist(), at[inside].tolist(), slot[inside].tolist()):
         for n, positions in owners[k]:
-            for i in positions:
-                spots[d, n].append((p - i, p))
+            spots[d, n] += [p] * len(positions)
     out = []
+    begun = np.flatnonzero(heads)  # where the words of all documents begin
     held, own, begin = -1, None, 0
     for (d, n), met in spots.items():
         least = items.meet[n]
         if len(met) < least:
             continue
-        # seeds of one passage are shifted alike, but for what its changed words shift
-        met.sort()
-        drift = items.drift[n]
-        hits = sorted({p for a, b in zip(met, met[least - 1 :]) if b[0] - a[0] <= drift for p in (a[1], b[1])})
-        if not hits:
-            continue
         if d != held:
             held, begin = d, int(bounds[d - 1]) if d else 0
             own = np.unique(hashes[begin : max(begin, int(bounds[d]) - items.seed + 1)])
@@ -342,30 +396,36 @@ def _hits(items: Items, ids: np.ndarray, texts: list[str]) -> list[tuple[int, in
         where = np.minimum(np.searchsorted(own, grams), len(own) - 1)
         if int((own[where] == grams).sum()) < items.least[n]:
             continue
-        # the stretches around the seeds, as wide as the item is long
-        reach = int(len(items.text[n]) * 1.2) + 50
-        stop = int(bounds[d])
-        low = max(begin, hits[0] - reach)
-        high = min(stop, hits[0] + reach)
-        windows = []
-        for p in hits[1:]:
-            if p - reach <= high:
-                high = min(stop, p + reach)
+        # seeds of one passage stand near each other, by words, however long a changed word is, or by letters, however the words are spaced
+        stop, apart = int(bounds[d]), items.apart[n]
+        reach = int(apart * max(1.0, items.ends[n][-1] / len(items.ends[n])) * 1.2) + 50
+        windows: list[list[int]] = []
+        for p in met:
+            low, high = _around(begun, p, apart, reach, begin, stop)
+            if windows and low <= windows[-1][1]:
+                windows[-1][1] = max(high, windows[-1][1])
+                windows[-1][2] += 1
             else:
-                windows.append((low, high))
-                low, high = max(begin, p - reach), min(stop, p + reach)
-        windows.append((low, high))
-        if any(holds(items, n, bones[a:b]) for a, b in windows):
+                windows.append([low, high, 1])
+        if any(holds(items, n, bones[a:b], heads[a:b]) for a, b, hits in windows if hits >= least):
             out.append((int(ids[d]), items.ids[n]))
     return out
 
 
+def _around(begun: np.ndarray, at: int, words: int, letters: int, begin: int, stop: int) -> tuple[int, int]:
+    """The stretch of ``words`` words or ``letters`` letters, whichever is longer, on both sides of ``at``."""
+    here = int(np.searchsorted(begun, at, "right")) - 1
+    low = min(at - letters, int(begun[max(0, here - words)]))
+    high = max(at + letters, int(begun[here + words + 1]) if here + words + 1 < len(begun) else stop)
+    return max(begin, low), min(stop, high)
+
+
 def leaks(documents: DataFrame, items: DataFrame, block: int = BLOCK) -> DataFrame:
     """``(doc_id, item_id)``: the documents that hold a passage of a test item, once each.
 
     A passage has at least ``SHARE`` of the item's words in their order, of which at most ``CHANGED``
-    is changed, left out or added. Null and blank texts and items hold nothing; items below RUN words
-    count as one run. The items are counted; up to ``block`` go to the executors at once, more are
+    is changed, left out or added. Words go by white space, and letter by letter in scripts without it. Null
+    and blank texts and items hold nothing. The items are counted; up to ``block`` go to the executors at once, more are
     taken in blocks of about that many, each against all documents. Documents are read whole and are
     not shuffled.
     """
@@ -377,9 +437,10 @@ def leaks(documents: DataFrame, items: DataFrame, block: int = BLOCK) -> DataFra
     for n in range(blocks):
         of = wanted if blocks == 1 else wanted.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == n)
         local = [(r[0], r[1]) for r in of.collect()]
-        if not any(skeleton(text) for _, text in local):
+        groups = by_seed(local, sample)
+        if not groups:
             continue
-        part = rows.mapInArrow(_searcher(Items(local, sample)), _OUT)
+        part = rows.mapInArrow(_searcher(groups), _OUT)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return rows.select("doc_id", F.lit(None).cast("bigint").alias("item_id")).limit(0)

@@ -119,6 +119,15 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return p9_found(spark, d).groupBy("item_id").agg(F.count("*").alias("n_docs"))
 
 
+def p9_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Of the leaks those whose document holds all letters and digits of the item in a row: SQL can find these by itself."""
+    plain = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", "")
+    found = p9_found(spark, d)
+    documents = table(spark, d, "documents").select("doc_id", plain("text").alias("document"))
+    items = table(spark, d, "eval_items").select("item_id", plain("text").alias("item"))
+    return found.join(items, "item_id").join(documents, "doc_id").filter(F.col("document").contains(F.col("item"))).select("doc_id", "item_id")
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.split(table(spark, d, "documents"))
 
@@ -131,10 +140,13 @@ def p10_lengths(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found, "p3_unmatched": p3_unmatched, "p5_found": p5_found, "p5_matches": p5_matches,
     "p7_found": p7_found, "p7_truths": p7_truths, "p7_sources": p7_sources, "p7_totals": p7_totals, "p8_packed": p8_packed, "p8_fill": p8_fill, "p8_whole": p8_whole,
-    "p9_found": p9_found, "p9_items": p9_items, "p10_found": p10_found, "p10_lengths": p10_lengths,
+    "p9_found": p9_found, "p9_items": p9_items, "p9_whole": p9_whole, "p10_found": p10_found, "p10_lengths": p10_lengths,
 }
 SQL = {
     "p7_found": P7_SQL,
     "p8_whole": """select count(*) as texts, cast(0 as bigint) as over, cast(0 as bigint) as cut, cast(0 as bigint) as wrong from documents where text <> ''""",
+    "p9_whole": """with d as (select doc_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}]', '', 'g') as t from documents),
+i as (select item_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}]', '', 'g') as t from eval_items)
+select doc_id, item_id from d join i on contains(d.t, i.t) where i.t <> ''""",
     "p7_totals": f"with q as ({P7_SQL}) select prop, count(*) as n_groups, sum(conflict) as conflicts from q group by 1",
 }

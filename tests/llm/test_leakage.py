@@ -43,9 +43,50 @@ def test_long_texts_are_parted(spark, monkeypatch):
     monkeypatch.setattr(L, "PART", 6000)
     items = L.Items([(1, item(1)), (2, item(2))])
     filler = item(77, 4000)
-    text = filler[:9000] + " " + item(1) + " " + filler[9000:] + item(2)
+    text = filler[:9000] + " " + item(1) + " " + filler[9000:] + " " + item(2)
     ids, parts = L._parted(np.array([5]), [text], L.STRETCH * max(map(len, items.text)))
-    assert len(parts) > 2 and set(L._hits(items, ids, parts)) == {(5, 1), (5, 2)}
+    assert len(parts) > 2 and set(L._hits([items], ids, parts)) == {(5, 1), (5, 2)}
+
+
+def test_changed_words_of_any_length():
+    """A tenth of the words swapped, for words of 1 to 80 letters: every passage is found, whatever the item's length."""
+    r = random.Random(8)
+    for words in (12, 22, 27, 43, 60, 120):
+        rows = [(i, item(1000 * words + i, words)) for i in range(15)]
+        groups = L.by_seed(rows)
+        for letters in (1, 6, 12, 80):
+            texts = []
+            for _, text in rows:
+                w = text.split()
+                for at in r.sample(range(words), words // 10):
+                    w[at] = "".join(r.choice("qzj") for _ in range(letters))
+                texts.append(f"{item(r.randrange(10**6), 30)} {' '.join(w)} {item(r.randrange(10**6), 30)}")
+            assert len(L._hits(groups, np.arange(15), texts)) == 15, (words, letters)
+
+
+def test_too_many_changed_words_are_no_passage():
+    r = random.Random(9)
+    rows = [(i, item(500 + i, 60)) for i in range(15)]
+    texts = []
+    for _, text in rows:
+        w = text.split()
+        for at in range(0, 60, 4):
+            w[at] = "".join(r.choice("qzj") for _ in range(5))
+        texts.append(" ".join(w))
+    assert not L._hits(L.by_seed(rows), np.arange(15), texts)
+
+
+def test_scripts_without_spaces():
+    """Letters count as words: two fifths of a Chinese item, one letter in ten changed, beside items with spaces."""
+    r = random.Random(10)
+    letters = [chr(c) for c in range(0x4E00, 0x5200)]
+    text = "".join(r.choice(letters) for _ in range(60))
+    groups = L.by_seed([(1, text), (2, item(2))])
+    part = list(text[20:50])
+    part[9] = part[19] = "的"
+    noise = "".join(r.choice(letters) for _ in range(300))
+    docs = [noise + "".join(part) + noise, noise + text[:12] + noise, noise + "".join(sorted(text)) + noise, "x " + item(2)]
+    assert len(groups) == 2 and sorted(L._hits(groups, np.arange(4), docs)) == [(0, 1), (3, 2)]
 
 
 def brute(item, text, least):
