@@ -129,7 +129,7 @@ def p9_whole(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return sentences.split(table(spark, d, "documents"))
+    return sentences.split(table(spark, d, "documents"), lang=F.col("lang"))
 
 
 def p10_lengths(spark: SparkSession, d: str) -> DataFrame:
@@ -137,10 +137,17 @@ def p10_lengths(spark: SparkSession, d: str) -> DataFrame:
     return p10_found(spark, d).groupBy("doc_id").agg(F.count("*").alias("n_sentences"), F.max(F.col("end_char") - F.col("start_char")).alias("longest"))
 
 
+def p10_cover(spark: SparkSession, d: str) -> DataFrame:
+    """Letters and digits of every document that stand in its sentences, which must be all it has, once each."""
+    spans = p10_found(spark, d).join(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    letters = F.length(F.regexp_replace(F.substring(F.col("text"), F.col("start_char").cast("int") + 1, (F.col("end_char") - F.col("start_char")).cast("int")), r"[^\p{L}\p{N}]", ""))
+    return spans.groupBy("doc_id").agg(F.sum(letters).cast("bigint").alias("n_letters"))
+
+
 QUERIES = {
     "p3_found": p3_found, "p3_unmatched": p3_unmatched, "p5_found": p5_found, "p5_matches": p5_matches,
     "p7_found": p7_found, "p7_truths": p7_truths, "p7_sources": p7_sources, "p7_totals": p7_totals, "p8_packed": p8_packed, "p8_fill": p8_fill, "p8_whole": p8_whole,
-    "p9_found": p9_found, "p9_items": p9_items, "p9_whole": p9_whole, "p10_found": p10_found, "p10_lengths": p10_lengths,
+    "p9_found": p9_found, "p9_items": p9_items, "p9_whole": p9_whole, "p10_found": p10_found, "p10_lengths": p10_lengths, "p10_cover": p10_cover,
 }
 SQL = {
     "p7_found": P7_SQL,
@@ -148,5 +155,6 @@ SQL = {
     "p9_whole": """with d as (select doc_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}]', '', 'g') as t from documents),
 i as (select item_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}]', '', 'g') as t from eval_items)
 select doc_id, item_id from d join i on contains(d.t, i.t) where i.t <> ''""",
+    "p10_cover": """select doc_id, length(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) as n_letters from documents where trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> ''""",
     "p7_totals": f"with q as ({P7_SQL}) select prop, count(*) as n_groups, sum(conflict) as conflicts from q group by 1",
 }
