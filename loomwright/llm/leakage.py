@@ -8,6 +8,7 @@ the tiles that follow each other in the item's order are taken for one passage.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import unicodedata
 from collections import Counter, defaultdict
@@ -153,6 +154,7 @@ class Items:
                 self.starts.append(starts)
                 self.ends.append(np.concatenate([starts[1:], [len(bones)]]))
         self.codes = [np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in self.text]
+        self.words = [[c[a:b].tobytes() for a, b in zip(s, e)] for c, s, e in zip(self.codes, self.starts, self.ends)]
         self.run = [min(-(-(n - c) // (c + 1)) for n, c in _spans(len(s))) for s in self.starts]
         # words between two seeds of one passage at most: all that may be changed, and what is unchanged but too short for a run
         self.apart = [(_spans(len(s))[-1][1] + 1) * (run + 1) + run for s, run in zip(self.starts, self.run)]
@@ -263,25 +265,33 @@ def tiles(item: np.ndarray, text: np.ndarray, least: int = TILE) -> list[tuple[i
     return sorted(out)
 
 
-def _between(item: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: range, text: np.ndarray, heads: np.ndarray, mean: float) -> int:
-    """Changed words between two tiles: the item's ``words`` against the letters ``text`` that stand there instead.
+def _between(words: list[bytes], text: np.ndarray, heads: np.ndarray, mean: float, most: float) -> float:
+    """Changed words between two tiles, or infinity if more than ``most``: the item's ``words`` against the letters ``text`` that stand there instead.
 
     Words of the item that stand there whole and in order are not changed, though too short for a
     tile. What else stands there counts by the words it begins, however long they are, or by its
     letters where these are fewer, since the spacing of a document may differ.
     """
     begun = np.flatnonzero(heads).tolist()
-    stops = [*begun[1:], len(text)]
-    kept, at = 0, 0
-    for w in words:
-        word = item[starts[w] : ends[w]]
-        for k in range(at, len(begun)):
-            if stops[k] - begun[k] == len(word) and (text[begun[k] : stops[k]] == word).all():
-                kept, at = kept + 1, k + 1
-                break
+    more = (len(text) - sum(map(len, words)) // text.itemsize) / mean
+    more = round(more) if more > 0 else 0
+    if max(len(words) - len(begun), min(len(begun) - len(words), more)) > most:
+        return np.inf
+    kept = 0
+    if words and begun:
+        letters, size = text.tobytes(), text.itemsize
+        spots: dict[bytes, list[int]] = {}
+        for k, (a, b) in enumerate(zip(begun, [*begun[1:], len(text)])):
+            spots.setdefault(letters[a * size : b * size], []).append(k)
+        at = 0
+        for word in words:
+            found = spots.get(word, ())
+            k = bisect.bisect_left(found, at)
+            if k < len(found):
+                kept, at = kept + 1, found[k] + 1
     lost = len(words) - kept
-    letters = len(text) - int(ends[words[-1]] - starts[words[0]]) if len(words) else len(text)
-    return max(lost, min(len(begun) - kept, lost + (round(letters / mean) if letters > 0 else 0)))
+    cost = max(lost, min(len(begun) - kept, lost + more))
+    return cost if cost <= most else np.inf
 
 
 def holds(items: Items, n: int, text: np.ndarray, heads: np.ndarray) -> bool:
@@ -313,8 +323,8 @@ def holds(items: Items, n: int, text: np.ndarray, heads: np.ndarray) -> bool:
                 room = CHANGED * words - errors[b]
                 if first[c] - after[b] > (room + 1) * (items.run[n] + 1):
                     continue
-                cost = errors[b] + _between(item, starts, ends, range(after[b], first[c]), text[jb + lb : jc], heads[jb + lb : jc], mean)
-                if cost <= CHANGED * words + 1e-9 and cost < errors.get(c, words):
+                cost = errors[b] + _between(items.words[n][after[b] : first[c]], text[jb + lb : jc], heads[jb + lb : jc], mean, room + 1e-9)
+                if cost < errors.get(c, words):
                     errors[c] = cost
     return False
 
@@ -362,12 +372,10 @@ def _hits(groups: list[Items], ids: np.ndarray, texts: list[str]) -> list[tuple[
     before = np.concatenate([[0], np.cumsum(kept)])
     bounds = before[ends]  # where each document's bones end
     bones = codes[kept]
-    heads = _heads(joined, codes)
-    heads[np.concatenate([[0], bounds[:-1]])[np.concatenate([[0], bounds[:-1]]) < len(heads)]] = True
-    return [pair for items in groups for pair in _met(items, ids, bones, heads, bounds)]
+    return [pair for items in groups for pair in _met(items, ids, texts, bones, bounds)]
 
 
-def _met(items: Items, ids: np.ndarray, bones: np.ndarray, heads: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:
+def _met(items: Items, ids: np.ndarray, texts: list[str], bones: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:
     hashes = rolling(bones, items.seed)
     if not len(hashes):
         return []
@@ -383,41 +391,43 @@ def _met(items: Items, ids: np.ndarray, bones: np.ndarray, heads: np.ndarray, bo
         for n, positions in owners[k]:
             spots[d, n] += [p] * len(positions)
     out = []
-    begun = np.flatnonzero(heads)  # where the words of all documents begin
-    held, own, begin = -1, None, 0
+    held, own, begin, heads, begun = -1, None, 0, None, None
     for (d, n), met in spots.items():
         least = items.meet[n]
         if len(met) < least:
             continue
         if d != held:
-            held, begin = d, int(bounds[d - 1]) if d else 0
+            held, begin, heads = d, int(bounds[d - 1]) if d else 0, None
             own = np.unique(hashes[begin : max(begin, int(bounds[d]) - items.seed + 1)])
         grams = items.grams[n]
         where = np.minimum(np.searchsorted(own, grams), len(own) - 1)
         if int((own[where] == grams).sum()) < items.least[n]:
             continue
         # seeds of one passage stand near each other, by words, however long a changed word is, or by letters, however the words are spaced
-        stop, apart = int(bounds[d]), items.apart[n]
+        if heads is None:
+            heads = _heads(texts[d], _codes(texts[d]))
+            begun = np.flatnonzero(heads)  # where the document's words begin
+        own_bones, apart = bones[begin : int(bounds[d])], items.apart[n]
         reach = int(apart * max(1.0, items.ends[n][-1] / len(items.ends[n])) * 1.2) + 50
         windows: list[list[int]] = []
         for p in met:
-            low, high = _around(begun, p, apart, reach, begin, stop)
+            low, high = _around(begun, p - begin, apart, reach, len(heads))
             if windows and low <= windows[-1][1]:
                 windows[-1][1] = max(high, windows[-1][1])
                 windows[-1][2] += 1
             else:
                 windows.append([low, high, 1])
-        if any(holds(items, n, bones[a:b], heads[a:b]) for a, b, hits in windows if hits >= least):
+        if any(holds(items, n, own_bones[a:b], heads[a:b]) for a, b, hits in windows if hits >= least):
             out.append((int(ids[d]), items.ids[n]))
     return out
 
 
-def _around(begun: np.ndarray, at: int, words: int, letters: int, begin: int, stop: int) -> tuple[int, int]:
+def _around(begun: np.ndarray, at: int, words: int, letters: int, size: int) -> tuple[int, int]:
     """The stretch of ``words`` words or ``letters`` letters, whichever is longer, on both sides of ``at``."""
     here = int(np.searchsorted(begun, at, "right")) - 1
     low = min(at - letters, int(begun[max(0, here - words)]))
-    high = max(at + letters, int(begun[here + words + 1]) if here + words + 1 < len(begun) else stop)
-    return max(begin, low), min(stop, high)
+    high = max(at + letters, int(begun[here + words + 1]) if here + words + 1 < len(begun) else size)
+    return max(0, low), min(size, high)
 
 
 def leaks(documents: DataFrame, items: DataFrame, block: int = BLOCK) -> DataFrame:
