@@ -59,8 +59,8 @@ def cyrillic(token: str) -> str:
     return token
 
 
-def read(value: str) -> list[str]:
-    """The tokens of a value, in small letters, without counts and words that name nothing."""
+def read(value: str, aliases: dict[str, str] = ALIASES) -> list[str]:
+    """The tokens of a value, in small letters, without counts and words that name nothing, ``aliases`` for other words."""
     value = unicodedata.normalize("NFKC", value)
     value = "".join(c for c in value if unicodedata.category(c) != "Cf")
     value = _BRACKETS.sub(" ", value)
@@ -82,7 +82,7 @@ def read(value: str) -> list[str]:
             for token in _SPLIT.split(part):
                 token = token.lower()
                 if token and token not in NOISE:
-                    out.append(ALIASES.get(token, token))
+                    out.append(aliases.get(token, token))
     return out
 
 

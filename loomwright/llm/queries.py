@@ -35,13 +35,9 @@ def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return found.filter("ref_id = 0").groupBy("src_table", "field", "value").agg(F.count("*").alias("n"))
 
 
-#: Words of listings that are of several items at once.
-SEVERAL = ("set", "bundle", "pack")
-
-
 def p5_matches(spark: SparkSession, d: str) -> DataFrame:
     """Pairs with their confidence."""
-    return matching.match(table(spark, d, "market"), table(spark, d, "de_items"), SEVERAL)
+    return matching.match(table(spark, d, "market"), table(spark, d, "de_items"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
