@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +37,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that executors share; a temporary one only where the session names none."""
+    """The folder that executors share, as the session names it. Only a local master, as in tests, may go without: it gets a temporary one."""
     context = spark.sparkContext
     found = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="loomwright-checkpoint-")
+        atexit.register(shutil.rmtree, found, ignore_errors=True)
     if not context.getCheckpointDir():
         context.setCheckpointDir(found)
     return found
@@ -50,6 +56,17 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffles, broadcasts and checkpoints that no frame refers to any more.
+
+    They are dropped when the driver's collector finds their handles dead, which a driver with room
+    to spare may put off for as long as many steps pile them up; so long pipelines ask for it between steps.
+    """
+    jvm = spark.sparkContext._jvm
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def reach(spark: SparkSession) -> SparkSession:
     """``spark``, whose Python workers find this package where the driver does, whatever folder they start in."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
