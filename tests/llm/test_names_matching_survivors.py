@@ -189,6 +189,19 @@ def test_survivors(spark):
     assert survivors.judge(said(spark).limit(0), trust)[0].count() == 0
 
 
+def test_the_latest_claim_is_the_latest_in_any_zone(spark):
+    """In the night the clocks go back, 02:30 read in the zone of the session comes an hour late."""
+    data = [("g", "p", "old", "s", dt.datetime(2025, 3, 30, 2, 40, 0, 5), 1), ("g", "p", "new", "s", dt.datetime(2025, 3, 30, 3, 10), 2), ("h", "p", "a", "s", dt.datetime(2025, 1, 1, 0, 0, 0, 1), 3), ("h", "p", "b", "s", dt.datetime(2025, 1, 1), 4)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        said_ = spark.createDataFrame(data, "grp string, prop string, val string, source string, at timestamp_ntz, row bigint")
+        judged, _ = survivors.judge(said_, spark.createDataFrame([], "source string, prop string, rank int"))
+        assert {r["grp"]: r["val"] for r in survivors.survive(judged).collect()} == {"g": "new", "h": "a"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_estimation_finds_the_bad_source_and_agrees_with_the_spread_one(spark):
     r = random.Random(4)
     data = []
