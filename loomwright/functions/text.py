@@ -41,28 +41,35 @@ def without_stack(c: Column) -> Column:
     return F.regexp_replace(c, r"^(.*?\S)\s[xX]\s?[0-9]+(\s+\S.*)$", "$1$2")
 
 
-def grade(c: Column) -> tuple[Column, Column]:
-    """``Name (Grade)`` as name and grade; no grade is null."""
-    found = F.nullif(F.regexp_extract(c, r"^(.+?)\s*\(([^()]+)\)$", 2), F.lit(""))
-    return F.when(found.isNotNull(), F.regexp_extract(c, r"^(.+?)\s*\(([^()]+)\)$", 1)).otherwise(c), found
+# The grades a relic is printed with.
+GRADES = ("Intact", "Exceptional", "Flawless", "Radiant")
 
 
-def base_and_grade(path: Column, grades: tuple[str, ...]) -> tuple[Column, Column]:
-    """A path without the grade it ends in, and the grade; one without any has the first."""
+def grade(c: Column, grades: tuple[str, ...] = GRADES) -> tuple[Column, Column]:
+    """``Name (Grade)`` as name and small-lettered grade; another parenthetical belongs to the name and the grade is null."""
+    pattern = r"(?s)^(.*) \((" + "|".join(grades) + r")\)$"
+    graded = c.rlike(pattern)
+    return F.when(graded, F.regexp_extract(c, pattern, 1)).otherwise(c), F.when(graded, F.lower(F.regexp_extract(c, pattern, 2)))
+
+
+def base_and_grade(path: Column, grades: tuple[str, ...], folder: str = "") -> tuple[Column, Column]:
+    """A path without the grade it ends in, and the grade; one without any has the first. Paths outside ``folder`` have neither."""
     base, of = path, F.lit(grades[0])
     for g in grades:
         base = F.when(path.endswith(g), F.regexp_replace(path, g + "$", "")).otherwise(base)
         of = F.when(path.endswith(g), g).otherwise(of)
-    return base, of
+    inside = path.contains(folder)
+    return F.when(inside, base), F.when(inside, of)
 
 
-_HEADING = r"^(?:([^:/]+):\s*)?(?:([^/]+)/)?(.+?)(?:\s*\(([^()]*)\)\s*([^()]*))?$"
+_HEADING = r"^(Event:)?\s*([^/]*?)\s*/(.*)\(([^()]*)\)\s*(Extra)?$"
 
 
 def heading(c: Column) -> dict[str, Column]:
-    """``Event: Place/Node (Label) Extra`` by part; parts that are missing are null."""
-    part = lambda i: F.nullif(F.trim(F.regexp_extract(c, _HEADING, i)), F.lit(""))
-    return {"event": part(1), "place": part(2), "node": part(3), "label": part(4), "extra": part(5)}
+    """``Event: Place/Node (Label) Extra`` by part, with flags of an event and of an extra table; all null for a text of another shape."""
+    part = lambda i: F.trim(F.regexp_extract(c, _HEADING, i))
+    shaped = lambda value: F.when(c.rlike(_HEADING), value)
+    return {"place": shaped(part(2)), "node": shaped(part(3)), "label": shaped(part(4)), "event": shaped(part(1) != ""), "extra": shaped(part(5) != "")}
 
 
 def level_range(c: Column) -> tuple[Column, Column]:
@@ -71,6 +78,14 @@ def level_range(c: Column) -> tuple[Column, Column]:
     return low, high
 
 
+def split_levels(c: Column) -> tuple[Column, Column, Column]:
+    """``Name (Level 0 - 50)`` as name, low and high; a text of another shape is all name."""
+    pattern = r"^(.*)\(Level\s*([0-9]+)\s*-\s*([0-9]+)\s*\)\s*$"
+    shaped = c.rlike(pattern)
+    number = lambda i: F.when(shaped, F.regexp_extract(c, pattern, i).try_cast("bigint"))
+    return F.when(shaped, F.rtrim(F.regexp_extract(c, pattern, 1))).otherwise(c), number(2), number(3)
+
+
 def slug(c: Column) -> Column:
     """Small letters and digits joined by underscores."""
     return F.btrim(F.regexp_replace(F.lower(c), r"[^a-z0-9]+", "_"), F.lit("_"))
@@ -112,8 +127,8 @@ def filetime_ms(ticks: Column) -> Column:
 
 
 def grouped(n: Column) -> Column:
-    """A whole number with its digits in groups."""
-    return F.format_number(n, 0)
+    """A whole number with its digits in groups of three, parted by narrow blanks that don't break."""
+    return F.replace(F.format_number(n, 0), F.lit(","), F.lit("\u202f"))
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -132,11 +147,51 @@ def url_encoded(c: Column) -> Column:
     return F.replace(F.replace(F.url_encode(c), F.lit("+"), F.lit("%20")), F.lit("%2F"), F.lit("/"))
 
 
+#: Letters and words of a name at most, letters of a word that may begin small, and what no name holds or ends in.
+NAME_LENGTH, NAME_WORDS, JOINER = 48, 4, 3
+NOT_IN_NAMES, NOT_LAST = r"[|<>\\/\n]", r"[.!?:,]$"
+
+
 def is_name(c: Column) -> Column:
-    """Whether a phrase reads as a name: at most 6 words and 48 letters, every word a capital or a joining word, no digits alone or slashes."""
-    word = lambda w: w.rlike(r"^\p{Lu}[\p{L}\p{N}'’-]*$") | w.isin("of", "the", "and", "de", "la")
-    words = F.split(c, " ")
-    return (F.length(c) <= 48) & (F.size(words) <= 6) & F.forall(words, word) & c.rlike(r"^\p{Lu}")
+    """Whether a phrase reads as a name: few words, each beginning with no small letter unless it is a short joiner, the first in any case."""
+    words = F.filter(F.split(F.trim(c), r"\s+"), lambda w: w != "")
+    begun = lambda w: ~w.rlike(r"^(?!\p{Lu})\p{L}")
+    fits = (F.length(c) <= NAME_LENGTH) & (F.size(words) <= NAME_WORDS) & ~c.rlike(NOT_IN_NAMES) & ~c.rlike(NOT_LAST)
+    return (F.size(words) > 0) & fits & begun(F.get(words, F.lit(0))) & F.forall(words, lambda w: begun(w) | (F.length(w) <= JOINER))
+
+
+# Rewards that are used up at once, and those printed as an amount.
+SERVICES = (" Booster", " Resource Bundle")
+AMOUNTS, AMOUNT_WORDS = ("Region Resource", "Ducats"), ("Endo", "Credits")
+# Folders of alternate copies.
+TIERS = ("/Beginner/", "/Intermediate/", "/Expert/")
+
+
+def is_service(c: Column) -> Column:
+    """Whether a printed reward is used up at once and so is no item."""
+    return F.trim(c).rlike("(?:" + "|".join(SERVICES) + ")$")
+
+
+def is_amount(c: Column) -> Column:
+    """Whether a printed reward is an amount of something and so is no item: ``100 Endo``, ``1,500 Credits Cache``, ``Return: ...``."""
+    text = F.trim(c)
+    return text.isin(*AMOUNTS) | text.startswith("Return:") | text.rlike(r"^[+-]?[0-9][0-9,]* (?:(?:" + "|".join(AMOUNT_WORDS) + r")|.*Cache)$")
+
+
+def is_tiered(path: Column) -> Column:
+    """Whether a path is in a folder of alternate copies."""
+    return path.rlike("|".join(TIERS))
+
+
+def names_enemies(section: Column) -> Column:
+    """Whether a section's tables are of enemies and not of places."""
+    return section.rlike("(?:ByAvatar|ByDrop)$")
+
+
+def place_kind(section: Column) -> Column:
+    """What a section's tables are of: ``key``, ``sortie``, ``transient``, ``bounty`` or ``node``."""
+    own = [F.when(section == f"{kind}Rewards", kind) for kind in ("key", "sortie", "transient")]
+    return F.coalesce(*own, F.when(section.endswith("Rewards") & (section != "missionRewards"), "bounty"), F.lit("node"))
 
 
 def clean_json(c: Column) -> Column:

@@ -53,10 +53,10 @@ def expected_tries(chance: Column) -> Column:
 
 
 def rarity_ladder(chance: Column, steps: Mapping[str, float], rest: str) -> Column:
-    """The first name whose threshold the chance is over, from the top down."""
+    """The first name whose threshold the chance reaches, from the top down."""
     out = F.lit(rest)
     for name, threshold in sorted(steps.items(), key=lambda x: x[1]):
-        out = F.when(chance > threshold, name).otherwise(out)
+        out = F.when(chance >= threshold, name).otherwise(out)
     return out
 
 

@@ -67,15 +67,17 @@ def ambiguity(rows: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def reconcile(first: Column, second: Column) -> tuple[Column, Column]:
-    """Two spellings of a name as ``(name, status)``.
+    """Two spellings of a name as ``(name, status)``, ``first`` being the authority's and ``second`` one that may decorate it.
 
-    Equal or different in case only: the first, confirmed. One with a trailing parenthetical more: the
-    fuller, confirmed. One missing: the other, single. Else the first, in conflict.
+    Equal or different in case only: the first, confirmed. The second is the first with a
+    parenthetical more: the second, confirmed; the other way round is a conflict, since only the second
+    decorates. One missing: the other, single. Else the first, in conflict.
     """
-    bare = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s*\([^()]*\)\s*$", "")))
-    same, fuller = F.lower(first) == F.lower(second), bare(first) == bare(second)
-    name = F.when(first.isNull(), second).when(second.isNull() | same, first).when(fuller & (F.length(second) > F.length(first)), second).otherwise(first)
-    status = F.when(first.isNull() | second.isNull(), "single").when(same | fuller, "confirmed").otherwise("conflict")
+    same = F.lower(first) == F.lower(second)
+    more = F.trim(F.substr(second, F.length(first) + 1))
+    decorated = F.lower(second).startswith(F.lower(first)) & more.startswith("(") & more.endswith(")")
+    name = F.when(first.isNull(), second).when(second.isNull() | same, first).when(decorated, second).otherwise(first)
+    status = F.when(first.isNull() | second.isNull(), "single").when(same | decorated, "confirmed").otherwise("conflict")
     return name, status
 
 

@@ -21,6 +21,9 @@ COUNT_KEYS = ("ItemCount", "count")
 #: The states that a table is made of.
 TYPES = ("listing", "recipe", "ingredient", "icon", "name")
 
+#: The type of the row that stands for a body that can't be read.
+UNREAD = "unread"
+
 _SCHEMA = "raw_id bigint, node bigint, above bigint, type string, variant string, position string, child_key string, val string, amount string"
 
 
@@ -188,8 +191,11 @@ def _flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             reader = Reader(raw)
             try:
                 reader.read(json.loads(body))
-            except (ValueError, TypeError, RecursionError):
-                continue
+            except (ValueError, TypeError, RecursionError) as error:
+                # a body that can't be read, or not to its end, is told of and gives nothing else
+                reader.rows.clear()
+                if body is not None and body.strip():
+                    reader.row(None, UNREAD, type(error).__name__)
             rows += reader.rows
         for first in range(0, len(rows), 10_000):
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[first : first + 10_000]), schema.types)], schema=schema)
@@ -200,8 +206,8 @@ def flatten(records: DataFrame, key: str, body: str) -> DataFrame:
 
     ``(raw_id, node, above, type, variant, position, child_key, val, amount)``: ``node`` numbers the
     rows of a record, ``above`` is the row it belongs to, ``variant`` the shape it was read from. A
-    body that is null, no JSON or nested beyond what the JSON reader takes gives no rows, and neither
-    does a null or blank value of an icon, a name or a text ingredient; an ingredient without an item
+    body that is no JSON, or nested beyond what the JSON reader takes, gives one row of type ``unread``
+    with the error as its variant; one that is null or blank gives no rows, and neither does a null or blank value of an icon, a name or a text ingredient; an ingredient without an item
     keeps its row with a null ``val``, since recipes may hang from it. Repeated records keep their rows.
     """
     return records.select(F.col(key).cast("bigint").alias("raw_id"), F.col(body).cast("string").alias("body")).mapInArrow(_flatten, _SCHEMA)

@@ -35,13 +35,17 @@ def printed_set(rows: DataFrame, key: str, name: str, chance: str) -> DataFrame:
     return rows.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set(line)), "; ").alias("printed"))
 
 
-def next_version(version: Column, removed: Column, added: Column, changed: Column) -> Column:
-    """The version after a build: removed keys are a major step, added a minor, changes a patch, nothing none; no version starts at 0.1.0."""
-    part = lambda i: F.split(version, r"\.")[i].cast("int")
+def next_version(version: Column, schema: Column, removed: Column, added: Column, changed: Column) -> Column:
+    """The version after a build: the first part is the schema's alone; keys that come or go are a step of the second, changes of the third.
+
+    No version, one that can't be read or one of another schema starts at the schema's first.
+    """
+    part = lambda i: F.split(version, r"\.")[i].try_cast("int")
     text = lambda *parts: F.concat_ws(".", *[p.cast("string") for p in parts])
     zero = F.lit(0)
+    known = version.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+$") & (part(0) == schema)
     return (
-        F.when(version.isNull(), "0.1.0").when(removed > 0, text(part(0) + 1, zero, zero)).when(added > 0, text(part(0), part(1) + 1, zero))
+        F.when(~F.coalesce(known, F.lit(False)), text(schema, zero, zero)).when((added > 0) | (removed > 0), text(part(0), part(1) + 1, zero))
         .when(changed > 0, text(part(0), part(1), part(2) + 1)).otherwise(version)
     )
 

@@ -146,7 +146,7 @@ def drop_sources_ranked(t: Tables) -> DataFrame:
     return ranked.select("item", "place", "chance", "pos")
 
 
-@query(f"with {_DROPS} select place, item, cast(ceil(round(1 / chance, 6)) as bigint) as tries, case when chance > 0.01 then 'common' when chance > 0.002 then 'uncommon' else 'rare' end as rarity from drops")
+@query(f"with {_DROPS} select place, item, cast(ceil(round(1 / chance, 6)) as bigint) as tries, case when chance >= 0.01 then 'common' when chance >= 0.002 then 'uncommon' else 'rare' end as rarity from drops")
 def expected_kills(t: Tables) -> DataFrame:
     c = chance.per_roll(F.lit(None).cast("double"), F.col("chance"))
     return drops(t).select("place", "item", F.ceil(F.round(1 / c, 6)).alias("tries"), chance.rarity_ladder(c, {"common": 0.01, "uncommon": 0.002}, "rare").alias("rarity"))
@@ -297,15 +297,15 @@ def moved_sources(t: Tables) -> DataFrame:
     return state.moved(*halves(t), "o_custkey", "v", 50000.0).select("o_custkey")
 
 
-@query("""select c_custkey, case when c_custkey % 7 = 0 then '0.1.0' when c_custkey % 5 = 0 then '3.0.0' when c_custkey % 3 = 0 then '2.5.0' when c_custkey % 2 = 0 then '2.4.9' else '2.4.8' end as version from customer""")
+@query("""select c_custkey, case when c_custkey % 11 = 0 then '3.0.0' when c_custkey % 7 = 0 then '2.0.0' when c_custkey % 5 = 0 or c_custkey % 3 = 0 then '2.5.0' when c_custkey % 2 = 0 then '2.4.9' else '2.4.8' end as version from customer""")
 def next_version(t: Tables) -> DataFrame:
     k = F.col("c_custkey")
     version = F.when(k % 7 != 0, "2.4.8")
     hit = lambda n: F.when(k % n == 0, 1).otherwise(0)
-    return t("customer").select("c_custkey", state.next_version(version, hit(5), hit(3), hit(2)).alias("version"))
+    return t("customer").select("c_custkey", state.next_version(version, F.when(k % 11 == 0, 3).otherwise(2), hit(5), hit(3), hit(2)).alias("version"))
 
 
-@query("""with cur as (select distinct event_type || ':' || user_id as key from events where ts >= timestamp '2024-01-20'), prev as (select event_type || ':' || user_id as key, min(epoch_ms(ts)) as since from events where ts < timestamp '2024-01-20' group by 1)
+@query("""with cur as (select distinct event_type || ':' || user_id as key from events where ts >= timestamp '2024-01-20'), prev as (select event_type || ':' || user_id as key, min(epoch_us(ts) // 1000) as since from events where ts < timestamp '2024-01-20' group by 1)
 select key, coalesce(since, 1705708800000) as since from cur left join prev using (key)""")
 def first_seen_carry(t: Tables) -> DataFrame:
     keyed = t("events").withColumn("key", F.concat_ws(":", "event_type", F.col("user_id").cast("string")))
@@ -314,7 +314,7 @@ def first_seen_carry(t: Tables) -> DataFrame:
     return state.first_seen(keyed.filter(F.col("ts") >= cut), previous, "key", 1705708800000)
 
 
-@query("select event_type, user_id, 1706600000000 - max(epoch_ms(ts)) > 7 * 86400000 as settled from events group by 1, 2")
+@query("select event_type, user_id, 1706600000000 - max(epoch_us(ts) // 1000) > 7 * 86400000 as settled from events group by 1, 2")
 def settled_open(t: Tables) -> DataFrame:
     last = t("events").groupBy("event_type", "user_id").agg(F.max(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000)).alias("since"))
     return last.select("event_type", "user_id", state.settled(F.col("since"), 1706600000000).alias("settled"))
@@ -455,10 +455,10 @@ def carry_forward_rows(t: Tables) -> DataFrame:
 
 
 @query("""with h as (select p_partkey, p_partkey % 3 as k, p_type, p_brand, p_name from part)
-select p_partkey, case when k = 0 then p_type end as event, case when k < 2 then p_brand end as place, p_name as node, case when k < 2 then p_type end as label, case when k = 0 then 'Extra' end as extra from h""")
+select p_partkey, case when k < 2 then k = 0 end as event, case when k < 2 then p_brand end as place, case when k < 2 then p_name end as node, case when k < 2 then p_type end as label, case when k < 2 then k = 0 end as extra from h""")
 def heading_parse(t: Tables) -> DataFrame:
     k = F.col("p_partkey") % 3
-    printed = F.when(k == 0, F.concat("p_type", F.lit(": "), "p_brand", F.lit("/"), "p_name", F.lit(" ("), "p_type", F.lit(") Extra"))).when(k == 1, F.concat("p_brand", F.lit("/"), "p_name", F.lit(" ("), "p_type", F.lit(")"))).otherwise(F.col("p_name"))
+    printed = F.when(k == 0, F.concat(F.lit("Event: "), "p_brand", F.lit("/"), "p_name", F.lit(" ("), "p_type", F.lit(") Extra"))).when(k == 1, F.concat("p_brand", F.lit("/"), "p_name", F.lit(" ("), "p_type", F.lit(")"))).otherwise(F.col("p_name"))
     return t("part").select("p_partkey", *[c.alias(n) for n, c in text.heading(printed).items()])
 
 

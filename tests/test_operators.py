@@ -36,9 +36,9 @@ def test_consensus_truth_table(spark):
 
 
 def test_reconcile_names(spark):
-    frame = spark.createDataFrame([("Lex", "LEX"), ("Lex", "Lex (Old)"), ("Lex", "Rex"), (None, "Lex"), ("Lex", None), ("Lex", "Lex Two")], "a string, b string")
+    frame = spark.createDataFrame([("Lex", "LEX"), ("Lex", "Lex (Old)"), ("Lex", "Rex"), (None, "Lex"), ("Lex", None), ("Lex", "Lex Two"), ("Lex (Old)", "Lex"), ("Lex prime", "LEX Prime (Kept)")], "a string, b string")
     name, status = consensus.reconcile(F.col("a"), F.col("b"))
-    assert [tuple(r) for r in frame.select(name, status).collect()] == [("Lex", "confirmed"), ("Lex (Old)", "confirmed"), ("Lex", "conflict"), ("Lex", "single"), ("Lex", "single"), ("Lex", "conflict")]
+    assert [tuple(r) for r in frame.select(name, status).collect()] == [("Lex", "confirmed"), ("Lex (Old)", "confirmed"), ("Lex", "conflict"), ("Lex", "single"), ("Lex", "single"), ("Lex", "conflict"), ("Lex (Old)", "conflict"), ("LEX Prime (Kept)", "confirmed")]
 
 
 def test_first_rule_wins_and_dead_rules(spark):
@@ -125,7 +125,8 @@ def test_state(spark):
     days = spark.createDataFrame([(0,), (86_400_000 * 3,), (None,)], "s bigint").select(state.settled(F.col("s"), 7 * 86_400_000 + 1)).collect()
     assert [r[0] for r in days] == [True, False, True]
     versions = spark.createDataFrame([("1.2.3", 1, 1, 1), ("1.2.3", 0, 1, 1), ("1.2.3", 0, 0, 1), ("1.2.3", 0, 0, 0), (None, 0, 0, 0)], "v string, r int, a int, c int")
-    assert [r[0] for r in versions.select(state.next_version(F.col("v"), F.col("r"), F.col("a"), F.col("c"))).collect()] == ["2.0.0", "1.3.0", "1.2.4", "1.2.3", "0.1.0"]
+    assert [r[0] for r in versions.select(state.next_version(F.col("v"), F.lit(1), F.col("r"), F.col("a"), F.col("c"))).collect()] == ["1.3.0", "1.3.0", "1.2.4", "1.2.3", "1.0.0"]
+    assert [r[0] for r in versions.select(state.next_version(F.col("v"), F.lit(2), F.col("r"), F.col("a"), F.col("c"))).distinct().collect()] == ["2.0.0"]
 
 
 def test_similarity_and_search(spark):
@@ -144,7 +145,18 @@ def test_text(spark):
         assert one(spark, text.quantity, printed) == n and one(spark, text.without_quantity, printed) == name
     assert one(spark, text.without_stack, "Adramal Alloy X20 Blueprint") == "Adramal Alloy Blueprint" and one(spark, text.without_stack, "Vapor X 10 Blueprint") == "Vapor Blueprint" and one(spark, text.without_stack, "Lith X1") == "Lith X1"
     assert one(spark, text.percent, "Uncommon (12.50%)") == 0.125 and one(spark, text.label_of_rate, "Uncommon (12.50%)") == "Uncommon" and one(spark, text.percent, "none") is None
-    assert one(spark, text.is_name, "Sister of Parvos") and not one(spark, text.is_name, "Crit / 100 Damage")
+    for phrase, is_name in [("Sister of Parvos", True), ("Crit / 100 Damage", False), ("One Two Three Four Five", False), ("The end of", True), ("the End", False), ("Look Here!", False), ("Walk there Now", False), ("", False)]:
+        assert one(spark, text.is_name, phrase) == is_name, phrase
+    told = lambda printed: tuple(one(spark, lambda c, k=k: text.heading(c)[k], printed) for k in ("place", "node", "label", "event", "extra"))
+    assert told("Mars/Gradivus (Sabotage)") == ("Mars", "Gradivus", "Sabotage", False, False) and told("Event: Void/Ani (Caches) Extra") == ("Void", "Ani", "Caches", True, True)
+    assert told("Tactical: Mars/Ani (Caches)")[:2] == ("Tactical: Mars", "Ani") and told("No Place Here") == (None,) * 5
+    assert one(spark, lambda c: F.concat_ws("|", *text.grade(c)), "Lith Q3 Relic (Radiant)") == "Lith Q3 Relic|radiant" and one(spark, lambda c: text.grade(c)[1], "Lith Q3 (Old)") is None
+    assert one(spark, lambda c: F.concat_ws("|", *text.split_levels(c)), "Corrupted One (Level 0 - 50)") == "Corrupted One|0|50" and one(spark, lambda c: text.split_levels(c)[0], "One (Level x)") == "One (Level x)"
+    assert [one(spark, text.is_amount, x) for x in ("100 Endo", "1,500 Credits Cache", "Ducats", "Return: 5", "Oxium", "Two Endo")] == [True, True, True, True, False, False]
+    assert [one(spark, text.is_service, x) for x in ("3 Day Booster", "Rubedo Resource Bundle ", "Booster")] == [True, True, False]
+    assert one(spark, text.is_tiered, "/A/Expert/B") and not one(spark, text.is_tiered, "/A/Experts/B") and one(spark, text.names_enemies, "modByAvatar")
+    assert [one(spark, text.place_kind, x) for x in ("keyRewards", "missionRewards", "cetusRewards", "modByDrop")] == ["key", "node", "bounty", "node"]
+    assert one(spark, lambda c: text.grouped(c.cast("bigint")), "1234567") == "1\u202f234\u202f567"
     assert one(spark, lambda c: text.civil_day(c.cast("bigint")), "1787173743000") == "2026.08.19" and one(spark, lambda c: text.civil_day(c.cast("bigint")), "0") == "1970.01.01"
     assert one(spark, text.common_prefix, "abcd", "abxd") == "ab" and one(spark, text.words_missing, "a b c", "b") == "a c" and one(spark, text.url_encoded, "a b/c") == "a%20b/c"
     assert one(spark, lambda c: F.concat_ws("-", *text.level_range(c)), "Level 5 - 15 Cetus") == "5-15" and one(spark, text.fuzzy_fold, " A--b ") == "a b"

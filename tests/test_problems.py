@@ -120,3 +120,20 @@ def test_nested_shapes(spark):
     links = found.filter("raw_id = 3").select("node", "above", "type").collect()
     assert all(r["above"] is None or r["above"] < r["node"] for r in links)
     assert rows(nested.subtype(found, "ingredient").filter("raw_id = 4").select("item", "amount")) == [("/q", "3")]
+
+
+def test_bodies_that_cannot_be_read_are_told_of(spark):
+    data = [(1, "<html>"), (2, None), (3, " "), (4, "[" * 100_000 + "]" * 100_000), (5, '{"slug": "s"}')]
+    found = nested.flatten(spark.createDataFrame(data, "raw_id bigint, body string"), "raw_id", "body")
+    assert rows(found.select("raw_id", "type")) == [(1, "unread"), (4, "unread"), (5, "listing")]
+
+
+def test_keys_that_hold_the_separator_and_walks_of_several_parts(spark, monkeypatch):
+    monkeypatch.setattr(hierarchy, "TOGETHER", 3)
+    links = [("a > b", None), ("c", "a > b"), ("d > e > f", "c")] + [(f"n{i}", f"n{i - 1}" if i % 4 else None) for i in range(40)]
+    frame = spark.createDataFrame(links, "node string, parent string")
+    want = {("a > b", "c", 1), ("a > b", "d > e > f", 2), ("c", "d > e > f", 1)}
+    for most in (200_000, 2):
+        walked = hierarchy.hierarchy(frame, most)
+        assert {tuple(r) for r in hierarchy.descendants(walked).collect() if not r["node"].startswith("n")} == want
+        assert {r["node"]: r["below"] for r in walked.collect()} == {"a > b": 2, "c": 1, "d > e > f": 0, **{f"n{i}": 3 - i % 4 for i in range(40)}}
