@@ -48,8 +48,8 @@ def facts(said: DataFrame, trust: DataFrame) -> DataFrame:
     ranked = said.join(bounded(trust), ["source", "prop"], "left").withColumn("rank", F.coalesce("rank", F.lit(UNTRUSTED)))
     # the time as it is written, whatever the session's zone and its clock changes
     at = F.col("at")
-    age = F.date_diff(F.to_date(at), F.lit("1970-01-01").cast("date")).cast("bigint") * 86_400_000_000 + F.hour(at) * 3_600_000_000 + F.minute(at) * 60_000_000
-    age += (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("bigint")
+    age = F.date_diff(F.to_date(at), F.lit("1970-01-01").cast("date")).cast("bigint") * 86_400_000_000 + F.hour(at).cast("bigint") * 3_600_000_000 + F.minute(at).cast("bigint") * 60_000_000
+    age += (F.extract(F.lit("SECOND"), at).cast("decimal(12,6)") * 1_000_000).cast("bigint")
     newest = F.struct(F.col("rank").alias("rank"), (-age).alias("age"), F.col("row").alias("row"))
     values = ranked.groupBy("grp", "prop", "val").agg(F.min(newest).alias("best"), F.count("*").alias("n"), F.array_sort(F.collect_set("source")).alias("claiming"))
     speaking = ranked.filter(F.col("val").isNotNull()).groupBy("grp", "prop").agg(F.array_sort(F.collect_set("source")).alias("speaking"))
