@@ -137,3 +137,13 @@ def test_keys_that_hold_the_separator_and_walks_of_several_parts(spark, monkeypa
         walked = hierarchy.hierarchy(frame, most)
         assert {tuple(r) for r in hierarchy.descendants(walked).collect() if not r["node"].startswith("n")} == want
         assert {r["node"]: r["below"] for r in walked.collect()} == {"a > b": 2, "c": 1, "d > e > f": 0, **{f"n{i}": 3 - i % 4 for i in range(40)}}
+
+
+def test_hierarchy_is_the_same_in_all_columns_whatever_the_size_of_components(spark):
+    # a circle whose least node isn't the least of its component, below which trees hang, and siblings of several sizes
+    links = [*LINKS, ("a1", "z"), ("a0", "a1"), ("ab", "b"), ("m", "n"), ("n", "m"), ("l", None), *[(f"l{i}", "l") for i in range(9)], *[(f"l{i}k", f"l{i}") for i in range(0, 9, 2)], ("l4kk", "l4k")]
+    frame = spark.createDataFrame([(n, p, n.upper()) for n, p in links], "node string, parent string, label string")
+    walked, joined = (rows(hierarchy.hierarchy(frame, size)) for size in (100, 0))
+    assert walked == joined and len(walked) == len(links)
+    assert not [r for r in joined if None in r[6:9]]
+    assert rows(hierarchy.roots(frame)) == sorted(((n.upper(), None if depth < 0 else root.upper(), depth) for n, (root, depth) in brute(links).items()), key=str)
