@@ -147,3 +147,20 @@ def test_hierarchy_is_the_same_in_all_columns_whatever_the_size_of_components(sp
     assert walked == joined and len(walked) == len(links)
     assert not [r for r in joined if None in r[6:9]]
     assert rows(hierarchy.roots(frame)) == sorted(((n.upper(), None if depth < 0 else root.upper(), depth) for n, (root, depth) in brute(links).items()), key=str)
+
+
+def test_found_types_need_no_walk_and_keep_their_spelling(spark, tmp_path, monkeypatch):
+    from loomwright.plans import core_problems
+
+    day = lambda n: T0 + dt.timedelta(n)
+    items = [
+        (1, "/A/X-y", None, day(0)), (2, "/a/x_Y ", "/P/Root", day(1)), (3, "/A/Z", "/a/X_Y", day(0)), (4, "/A/Q", "/A/R", day(0)), (5, "/A/R", "/a/q", day(0)),
+        (6, "/A/U", "/A/R", day(0)), (7, "/P/Both", "/A/Z", day(0)), (8, "/A/D", "/gone", day(0)), (9, " ", None, day(0)),
+    ]
+    spark.createDataFrame(items, "row_id bigint, unique_name string, parent string, exported_at timestamp_ntz").write.parquet(str(tmp_path / "de_items.parquet"))
+    spark.createDataFrame([("/P/Root", ""), ("/p/both", None), ("/P/Sub", "/p/root")], "path string, parent string").write.parquet(str(tmp_path / "facts.parquet"))
+    monkeypatch.setattr(hierarchy, "hierarchy", None)
+    assert rows(core_problems.p4_found(spark, str(tmp_path))) == sorted(
+        [("/a/x_Y ", "/P/Root", 1), ("/A/Z", "/P/Root", 2), ("/A/Q", "cycle", -1), ("/A/R", "cycle", -1), ("/A/U", "cycle", -1), ("/P/Both", "/P/Root", 3), ("/A/D", "/A/D", 0),
+         ("/P/Root", "/P/Root", 0), ("/P/Sub", "/P/Root", 1)], key=str,
+    )
